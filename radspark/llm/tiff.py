@@ -298,7 +298,7 @@ def tiff_pages(df: DataFrame, media_col: str = "media", batch_bytes: int = 8 <<
 
     Rows are not moved; ``last`` marks a file's last page.
     """
-    own = T._parse_datatype_string(PAGE).names
+    own = [f.split()[0] for f in PAGE.split(", ")]
     kept = [f for f in df.schema.fields if f.name != media_col and f.name not in own]
     schema = T.StructType(kept + T._parse_datatype_string(PAGE).fields)
 
@@ -419,7 +419,7 @@ def payload_digests(pages: DataFrame) -> DataFrame:
                 sha, tail, total, hist, n, bad, shape = hashlib.sha256(), b"", 0, np.zeros(256, np.int64), 0, None, []
             s, i = pa.string(), pa.int64()
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (i, i, i, s, i, i, s, s, i, s))],
-                                             names=T._parse_datatype_string(DIGEST).names)
+                                             names=[f.split()[0] for f in DIGEST.split(", ")])
 
     return pages.mapInArrow(run, DIGEST)
 
