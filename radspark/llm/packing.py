@@ -194,7 +194,7 @@ def pack_pieces(pieces: DataFrame, n_docs: int, capacity: int = CAPACITY, group_
     """Pack pieces within randomised groups of documents; ``sequence_id`` is group * 2**32 + bin."""
     groups = max(1, math.ceil(n_docs / group_docs))
 
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key, table):
         t = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"),
                            ("ids_crc32", "ascending"), ("row", "ascending")])
         spots = first_fit_decreasing(t.column("length").to_pylist(), capacity)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from radspark.llm import packing, tiff
+from radspark.llm import gam, langid, minhash, packing, tiff
 
 
 def _tokenizer() -> str:
@@ -23,12 +23,28 @@ def op1_tiff_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiff.text_media(_read(spark, sf_dir, "documents"))
 
 
+def op2_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return gam.score(docs, gam.learn(docs, _read(spark, sf_dir, "labels")))
+
+
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+def op10_backoff_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_read(spark, sf_dir, "documents"))
+
+
 def op9_ffd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"), _tokenizer())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tiff_pages": op1_tiff_pages,
+    "op2_gam_quality": op2_gam_quality,
+    "op6_minhash_dedup": op6_minhash_dedup,
     "op9_ffd_packing": op9_ffd_packing,
+    "op10_backoff_langid": op10_backoff_langid,
 }
 ORACLE_SQL: dict[str, str] = {}
