@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from radspark.llm import gam, langid, minhash, packing, tiff
+from radspark.llm import gam, langid, minhash, packing, pii, tiff
 
 
 def _tokenizer() -> str:
@@ -32,6 +32,10 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op8_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_spans(_read(spark, sf_dir, "documents"))
+
+
 def op10_backoff_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_read(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tiff_pages": op1_tiff_pages,
     "op2_gam_quality": op2_gam_quality,
     "op6_minhash_dedup": op6_minhash_dedup,
+    "op8_weak_pii": op8_weak_pii,
     "op9_ffd_packing": op9_ffd_packing,
     "op10_backoff_langid": op10_backoff_langid,
 }
