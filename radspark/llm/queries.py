@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from radspark.llm import gam, langid, minhash, packing, pii, tiff
+from radspark.llm import gam, html_blocks, langid, licenses, minhash, mixing, packing, pii, tiff, vectors
 
 
 def _tokenizer() -> str:
@@ -28,6 +28,22 @@ def op2_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gam.score(docs, gam.learn(docs, _read(spark, sf_dir, "labels")))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_read(spark, sf_dir, "documents"))
+
+
+def op4_graph_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
+def op5_ipf_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.weigh(_read(spark, sf_dir, "documents"))
+
+
+def op7_lstm_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(_read(spark, sf_dir, "pages"))
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -47,9 +63,13 @@ def op9_ffd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tiff_pages": op1_tiff_pages,
     "op2_gam_quality": op2_gam_quality,
+    "op3_license_scan": op3_license_scan,
+    "op4_graph_neardup": op4_graph_neardup,
+    "op5_ipf_mixing": op5_ipf_mixing,
     "op6_minhash_dedup": op6_minhash_dedup,
+    "op7_lstm_main_text": op7_lstm_main_text,
     "op8_weak_pii": op8_weak_pii,
     "op9_ffd_packing": op9_ffd_packing,
     "op10_backoff_langid": op10_backoff_langid,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_ipf_mixing": mixing.oracle_sql()}
