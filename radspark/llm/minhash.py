@@ -206,3 +206,28 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, coords: int = COORDS, m
     out = sig.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     c = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", c.alias("component_id"), (F.col("doc_id") == c).alias("kept"))
+
+
+def keep_one(docs: DataFrame, **how) -> DataFrame:
+    """``docs`` with one document of each group of near duplicates, and one row of each doc_id.
+
+    Rows without a doc_id stay. Dropped ids are broadcast only while they are
+    few; the rows that repeat an id are settled apart, so texts of other rows
+    are never shuffled for them (the smallest text stays).
+    """
+    found = near_duplicates(docs, **how)
+    rows = spool(found.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("doc_id is not null and (not kept or n > 1)"))
+
+    def ids(which: DataFrame) -> DataFrame:
+        out = which.select(F.col("doc_id").alias("_id"))
+        return F.broadcast(out) if which.count() <= BROADCAST_IDS else out
+
+    same = F.col("doc_id").cast("long") == F.col("_id")
+    left = docs.join(ids(rows.where("not kept")), same, "left_anti")
+    twice = rows.where("kept and n > 1")
+    if twice.isEmpty():
+        return left
+    once = left.join(ids(twice), same, "left_anti")
+    again = left.join(ids(twice), same, "left_semi").groupBy(F.col("doc_id").alias("_id")).agg(
+        F.min_by(F.struct(*[f"`{c}`" for c in docs.columns]), F.struct(F.col("text"), F.xxhash64(F.struct(*[f"`{c}`" for c in docs.columns])))).alias("r"))
+    return once.unionByName(again.select("r.*"))
