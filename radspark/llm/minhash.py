@@ -41,6 +41,8 @@ PERCENT = 75
 #: Rows of one side in a block of the exhaustive step.
 BLOCK = 1024
 ROUNDS, LEADERS = 3, 3
+#: Smallest hashes of a set that stand for it where pairs across components are weighed.
+LOW = 512
 #: Ids are broadcast up to this many (8 bytes each); beyond it the join shuffles.
 BROADCAST_IDS = 1_000_000
 
@@ -114,23 +116,40 @@ def confirm(pairs: DataFrame, reps: DataFrame, sets: DataFrame, matches: int, pe
     return near.join(ga, "a").join(gb, "b").withColumn("both", both).where(100 * F.col("both") >= percent * union).select("a", "b")
 
 
-def _across(posts: DataFrame, matches: int) -> DataFrame:
-    """Pairs of one posting list in different components with enough equal coordinates.
+def _likely(a: np.ndarray, b: np.ndarray, whole: bool, percent: int) -> bool:
+    """Whether two sets may reach the similarity, by their smallest hashes (all of them if ``whole``)."""
+    if not whole:  # below the smaller of the two ends both samples are complete
+        end = min(a[-1], b[-1])
+        a, b = a[: np.searchsorted(a, end, side="right")], b[: np.searchsorted(b, end, side="right")]
+    at = np.searchsorted(a, b)
+    both = int((a[np.minimum(at, len(a) - 1)] == b).sum())
+    union = len(a) + len(b) - both
+    slack = 1.0 / union if whole else 4.5 * (0.1875 / union) ** 0.5
+    return both / union >= percent / 100 - slack
 
-    ``posts``: token, doc_id, comp, n_shingles, sig, size (of the list). Lists
-    are dealt out in pairs of blocks, so a task holds two blocks at most.
+
+def _across(posts: DataFrame, matches: int, percent: int) -> DataFrame:
+    """Pairs of one posting list in different components that may be links.
+
+    ``posts``: token, coord, doc_id, mask (coordinates of the document's
+    prefix, as bits), comp, n_shingles, sig, low (its smallest hashes), size
+    (of the list). A pair is looked at only in the list of the first prefix
+    coordinate that it shares. Lists are dealt out in pairs of blocks, so a
+    task holds two blocks at most.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
     dealt = (posts.withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select("token", "doc_id", "comp", "n_shingles", "sig", "own",
+             .select("token", "coord", "doc_id", "mask", "comp", "n_shingles", "sig", "low", "own",
                      F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")))
 
     def run(key, table):
         ids = table.column("doc_id").to_numpy()
-        comp, own_, n = (table.column(c).to_numpy() for c in ("comp", "own", "n_shingles"))
+        comp, own_, n, mask, coord = (table.column(c).to_numpy() for c in ("comp", "own", "n_shingles", "mask", "coord"))
         sig = np.array(table.column("sig").combine_chunks().flatten()).reshape(len(ids), -1)
+        low = [v.values.to_numpy() for v in table.column("low").combine_chunks()]
+        bits = (mask[:, None] >> np.arange(sig.shape[1])) & 1 == 1
         lo, hi = key[1].as_py(), key[2].as_py()
         first, second = np.flatnonzero(own_ == lo), np.flatnonzero(own_ == hi)
         a, b = [], []
@@ -138,12 +157,16 @@ def _across(posts: DataFrame, matches: int) -> DataFrame:
             js = second[(comp[second] != comp[i]) & (ids[second] != ids[i])]
             if lo == hi:
                 js = js[ids[js] > ids[i]]
-            js = js[100 * np.minimum(n[js], n[i]) >= PERCENT * np.maximum(n[js], n[i])]
-            js = js[(sig[js] == sig[i]).sum(axis=1) >= matches]
-            a.append(np.maximum(ids[js], ids[i]))
-            b.append(np.minimum(ids[js], ids[i]))
-        cat = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64())
-        return pa.table({"a": cat(a), "b": cat(b)})
+            js = js[100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i])]
+            same = sig[js] == sig[i]
+            here = (same & bits[js] & bits[i]).argmax(axis=1) == coord[i]
+            js = js[(same.sum(axis=1) >= matches) & here]
+            for j in js:
+                whole = len(low[i]) == n[i] and len(low[j]) == n[j]
+                if _likely(low[i], low[j], whole, percent):
+                    a.append(max(ids[i], ids[j]))
+                    b.append(min(ids[i], ids[j]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return dealt.groupBy("token", "lo", "hi").applyInArrow(run, "a long, b long").distinct()
 
@@ -161,15 +184,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, coords: int = COORDS, m
     reps = spool(own.groupBy("doc_id", "digest").agg(F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")))
 
     posts = reps.select("doc_id", F.posexplode("sig").alias("coord", "value")).select(
-        "doc_id", F.xxhash64("coord", "value").alias("token"))
+        "doc_id", "coord", F.xxhash64("coord", "value").alias("token"))
     shared = spool(posts.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     met = posts.join(shared, "token").groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("n", "token"))).alias("ts"))
+        F.sort_array(F.collect_list(F.struct("n", "token", "coord"))).alias("ts"))  # coords at most
     size = F.size("ts")
+    kept = F.slice("ts", F.lit(1), size - (matches - 1))
+    mask = F.aggregate(kept, F.lit(0).cast("long"), lambda m, t: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), t["coord"])))
     prefix = spool(
         met.where(size >= matches)
-        .select("doc_id", F.explode(F.slice("ts", F.lit(1), size - (matches - 1))).alias("t"))
-        .select("doc_id", F.col("t.token").alias("token")))
+        .select("doc_id", mask.alias("mask"), F.explode(kept).alias("t"))
+        .select("doc_id", "mask", F.col("t.token").alias("token"), F.col("t.coord").alias("coord")))
 
     links = copies
     touched = spool(prefix.select("doc_id").distinct())
@@ -185,13 +210,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, coords: int = COORDS, m
         else:
             comp = spool(components(found))
             now = spool(prefix.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-                        .select("token", "doc_id", F.coalesce("component", "doc_id").alias("comp")))
+                        .select("token", "coord", "doc_id", "mask", F.coalesce("component", "doc_id").alias("comp")))
             mixed = spool(now.groupBy("token").agg(F.min("comp").alias("least"), F.max("comp").alias("most"),
                                                    F.count(F.lit(1)).alias("size")).where("least < most"))
             open_posts = now.join(mixed.select("token", "size"), "token")
         if turn == ROUNDS:
-            facts = reps.select("doc_id", "n_shingles", "sig")
-            pairs = spool(_across(open_posts.join(facts, "doc_id"), matches))
+            smallest = F.transform(F.slice("grams", F.lit(1), F.lit(LOW)), lambda g: F.shiftrightunsigned(g, 32).cast("long"))
+            low = sets.groupBy("doc_id").agg(F.first(smallest).alias("low"))
+            facts = reps.select("doc_id", "n_shingles", "sig").join(low, "doc_id")
+            pairs = spool(_across(open_posts.join(facts, "doc_id"), matches, percent))
         else:
             lead = [F.min_by("doc_id", F.xxhash64("doc_id", F.lit(turn * LEADERS + k))) for k in range(LEADERS)]
             lead_comp = [F.min_by("comp", F.xxhash64("doc_id", F.lit(turn * LEADERS + k))) for k in range(LEADERS)]
