@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from radspark.storage import spool
+
 TRAIN, VALIDATION = 0.70, 0.15
 
 
@@ -24,15 +26,15 @@ def global_index(df: DataFrame, *order: str) -> DataFrame:
     """``index``: place in the global order, from 0.
 
     Range partitioning sorts in parallel; only one count per partition is
-    gathered, so no task sees all rows.
+    gathered, so no task sees all rows. The numbered rows are written once,
+    for range bounds are sampled and a second pass could place rows otherwise.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    own = laid.withColumn("_row", F.monotonically_increasing_id() - F.shiftleft(F.col("_part").cast("long"), 33))
-    sizes = own.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))  # a row per partition
-    return own.join(F.broadcast(before.select("_part", "_before")), "_part").withColumn("index", F.col("_row") + F.col("_before")).drop("_part", "_row", "_before")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
+    own = spool(laid.withColumn("__row", F.monotonically_increasing_id() - F.shiftleft(F.col("__part").cast("long"), 33)))
+    sizes = own.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))  # a row per partition
+    return own.join(F.broadcast(before.select("__part", "__before")), "__part").withColumn("index", F.col("__row") + F.col("__before")).drop("__part", "__row", "__before")
 
 
 def shards_by_count(df: DataFrame, per_shard: int, *order: str) -> DataFrame:
