@@ -27,9 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from radspark.llm.common import spool
 from radspark.llm.gam import bucket
 
-MAX_ORDER, DOCS_PER_LANG, MAX_WORDS, MAX_GRAMS = 5, 2500, 120_000, 120_000
+MAX_ORDER, DOCS_PER_LANG, MAX_WORDS, MAX_GRAMS = 5, 2500, 80_000, 80_000
+#: Counts by language are broadcast up to this many languages; beyond it the join shuffles.
+BROADCAST_LANGS = 10_000
 UNKNOWN = "und"
 #: Numbers a worker remembers for words outside the model; beyond it the memory starts anew.
 REMEMBERED = 4_000_000
@@ -101,7 +104,9 @@ def learn(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, max_order: int =
     """Fit on text and lang of documents whose crc32(doc_id) mod 4 is not 2."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.coalesce(bucket("doc_id", 4) != 2, F.lit(False)))
-    totals = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    totals = spool(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+    if totals.count() <= BROADCAST_LANGS:
+        totals = F.broadcast(totals)
     u = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = rows.join(totals, "lang").where(u * F.col("n") < docs_per_lang).select("lang", "text")
 
@@ -124,25 +129,27 @@ def learn(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, max_order: int =
 
     counts = sample.mapInArrow(run, "lang string, n int, piece string, c long").groupBy("lang", "n", "piece").agg(F.sum("c").alias("c"))
     total = F.sum("c").alias("total")
-    kept = counts.groupBy((F.col("n") > 0).alias("gram"), "n", "piece").agg(
-        total, F.sort_array(F.collect_list(F.struct("lang", "c"))).alias("by"))  # as many as languages
+    by_piece = spool(counts.groupBy("n", "piece").agg(total, F.sort_array(F.collect_list(F.struct("lang", "c"))).alias("by"))  # as many as languages
+                     .where(F.col("total") >= F.when(F.col("n") == 0, 2).otherwise(3)))
     order = [F.desc("total"), "n", "piece"]
-    words = kept.where("not gram and total >= 2").orderBy(*order).limit(max_words).collect()
-    grams = kept.where("gram and total >= 3").orderBy(*order).limit(max_grams).collect()
-    langs = sorted({b["lang"] for r in words + grams for b in r["by"]})
+    words = by_piece.where("n = 0").orderBy(*order).limit(max_words)
+    grams = by_piece.where("n > 0").orderBy(*order).limit(max_grams)
+    got = words.unionByName(grams).select("n", "piece", F.explode("by").alias("b")).select("n", "piece", "b.lang", "b.c").orderBy("n", "piece", "lang").toArrow()
+    order_col, lang_col, count = got.column("n").to_numpy(), got.column("lang").to_pylist(), got.column("c").to_numpy()
+    langs = sorted(set(lang_col))
     at = {g: i for i, g in enumerate(langs)}
-    c = np.zeros((len(words) + len(grams), len(langs)))
-    order_of = np.array([r["n"] for r in words + grams], dtype=int)
-    for i, r in enumerate(words + grams):
-        for b in r["by"]:
-            c[i, at[b["lang"]]] = b["c"]
+    entries: dict[tuple[int, str], int] = {}
+    row = np.fromiter((entries.setdefault(k, len(entries)) for k in zip(order_col.tolist(), got.column("piece").to_pylist())), np.int64, len(count))
+    c = np.zeros((len(entries), len(langs)))
+    np.add.at(c, (row, np.fromiter((at[g] for g in lang_col), np.int64, len(count))), count)
+    order_of = np.fromiter((n for n, _ in entries), np.int64, len(entries))
     table = np.zeros_like(c, dtype=np.float32)
     for n in range(max_order + 1):
         own = order_of == n
         if own.any():
             part = c[own] + 0.2
             table[own] = np.log(part / part.sum(axis=0))
-    return Model(langs, {r["piece"]: i for i, r in enumerate(words)}, {r["piece"]: len(words) + i for i, r in enumerate(grams)}, table)
+    return Model(langs, {w: i for (n, w), i in entries.items() if n == 0}, {g: i for (n, g), i in entries.items() if n > 0}, table)
 
 
 def predict(docs: DataFrame, model: Model, max_order: int = MAX_ORDER) -> DataFrame:
