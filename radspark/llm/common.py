@@ -1,64 +1,21 @@
-"""Shared pieces of the training-data operators.
+"""Shared pieces of the training-data operators: components of a graph, word and shingle hashes.
 
-* ``spool``: cut the lineage by writing Parquet into the shared checkpoint
-  folder, so that a lost executor costs a re-read and never a recomputation.
-* ``components``: connected components by hooking and contraction; no step
-  gathers the neighbours of one node, so hub nodes stay cheap.
+``spool`` (from the engine) cuts the lineage by writing Parquet into the shared
+checkpoint folder, so that a lost executor costs a re-read, not a recomputation.
 """
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_written: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    Read from ``spark.checkpoint.dir``. Where that is unset: the warehouse on
-    a cluster, a temporary folder in local mode (tests).
-    """
-    set_by_cluster = spark.conf.get("spark.checkpoint.dir", None)
-    if set_by_cluster:
-        return set_by_cluster.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-    made = tempfile.mkdtemp(prefix="radspark-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
-
-
-def spool(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it again."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/spool-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-@atexit.register
-def release() -> None:
-    """Delete the spooled tables; frames that still read them become invalid."""
-    while _written:
-        spark, path = _written.pop()
-        try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # the session may have ended before the interpreter
-            return
-
+from radspark.storage import spool
 
 def components(edges: DataFrame) -> DataFrame:
-    """Connected components of an undirected graph.
+    """Connected components of an undirected graph, by hooking and contraction.
+
+    No step gathers the neighbours of one node, so hubs stay cheap.
 
     ``edges``: columns ``a``, ``b`` (long). Returns ``node``, ``component``
     (the smallest node that can be reached), for nodes that have an edge to

@@ -84,7 +84,7 @@ class Model:
                 extra = np.concatenate([extra, np.array([back_off(w) for w in order], np.float32)])
             langs, scores = [], []
             for ws in split:
-                if not ws or not any(c.isalpha() for w in ws for c in w):
+                if not k or not ws or not any(c.isalpha() for w in ws for c in w):
                     langs.append(UNKNOWN)
                     scores.append(0.0)
                     continue

@@ -206,14 +206,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, coords: int = COORDS, m
     found: DataFrame | None = None
     for turn in range(ROUNDS + 1):
         if found is None:
-            open_posts = prefix.withColumn("comp", F.col("doc_id"))
+            now = prefix.withColumn("comp", F.col("doc_id"))
         else:
             comp = spool(components(found))
             now = spool(prefix.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
                         .select("token", "coord", "doc_id", "mask", F.coalesce("component", "doc_id").alias("comp")))
-            mixed = spool(now.groupBy("token").agg(F.min("comp").alias("least"), F.max("comp").alias("most"),
-                                                   F.count(F.lit(1)).alias("size")).where("least < most"))
-            open_posts = now.join(mixed.select("token", "size"), "token")
+        mixed = spool(now.groupBy("token").agg(F.min("comp").alias("least"), F.max("comp").alias("most"),
+                                               F.count(F.lit(1)).alias("size")).where("least < most"))
+        open_posts = now.join(mixed.select("token", "size"), "token")
         if turn == ROUNDS:
             smallest = F.transform(F.slice("grams", F.lit(1), F.lit(LOW)), lambda g: F.shiftrightunsigned(g, 32).cast("long"))
             low = sets.groupBy("doc_id").agg(F.first(smallest).alias("low"))
