@@ -122,10 +122,15 @@ def mammograms(df: DataFrame, laterality: str | None = None, view: str | None =
     return _map(df, image, [T.StructField("analysis", ANALYSIS)], one)
 
 
-def decode_dicom(files: DataFrame, config: kernels.PixelConfig = kernels.PixelConfig(), steps: Sequence[Kernel] = ()) -> DataFrame:
-    """Images of DICOM files (path, length, content): parsing, intensities and transforms in one hop."""
+def decode_dicom(files: DataFrame, config: kernels.PixelConfig = kernels.PixelConfig(), steps: Sequence[Kernel] = (), corrections: dict[str, kernels.Correction] | None = None) -> DataFrame:
+    """Images of DICOM files (path, length, content): parsing, vendor corrections, intensities and transforms in one hop."""
+    from radspark.functions.metadata import VENDORS
     from radspark.sources import dicom
 
+    def vendor(ds) -> str | None:
+        name = (ds.first("Manufacturer") or "").lower()
+        return next((v for fragment, v in VENDORS if fragment in name), None)
+
     chain = kernels.compose(list(steps))
     schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("image", T._parse_datatype_string(IMAGE)), T.StructField("error", T.StringType())])
 
@@ -135,7 +140,7 @@ def decode_dicom(files: DataFrame, config: kernels.PixelConfig = kernels.PixelCo
                 img, err = None, None
                 try:
                     ds = dicom.parse(b.column(1)[r].as_py() or b"", pixels=True)
-                    img = encode(chain(kernels.process_pixels(ds, config)))
+                    img = encode(chain(kernels.process_pixels(ds, config, corrections, vendor(ds))))
                 except Exception as x:  # one bad file must not end the job
                     err = f"{type(x).__name__}: {x}"
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(r, 1), pa.array([img], IMAGE_TYPE), pa.array([err], pa.string())], names=["path", "image", "error"])

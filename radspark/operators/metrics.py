@@ -44,6 +44,13 @@ def transfer(files: DataFrame, length: str = "length", ok: str = "ok", seconds:
     return a.withColumn("mb_per_second", F.lit(None).cast("double") if not seconds else F.round(F.col("bytes") / 1048576 / seconds, 4))
 
 
+def progress(done: int, failed: int, total: int, seconds: float) -> dict[str, float]:
+    """Fraction done, rows a second and seconds left."""
+    gone = done + failed
+    rate = gone / seconds if seconds > 0 else 0.0
+    return {"fraction": gone / total if total else 1.0, "rate": rate, "eta_sec": (total - gone) / rate if rate else float("inf") if total > gone else 0.0}
+
+
 class Collector:
     """Driver-side points and counters; everything about data comes from aggregations instead."""
 

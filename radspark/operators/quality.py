@@ -173,3 +173,13 @@ def duplicate_images(df: DataFrame, digest: str) -> DataFrame:
 def gate(facts: DataFrame, min_side: int = 256, max_side: int = 8192) -> DataFrame:
     """Rows of images (height, width) with ``accepted``: both sides within the limits."""
     return facts.withColumn("accepted", F.col("height").between(min_side, max_side) & F.col("width").between(min_side, max_side))
+
+
+def split_manifests(spark, folder: str, key: str = "patient_id") -> dict[str, DataFrame]:
+    """Splits of ``train_manifest.json``, ``val_manifest.json`` and ``test_manifest.json`` (arrays of objects); absent ones are left out."""
+    out = {}
+    for n in ("train", "val", "test"):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}_manifest.json")
+        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            out[n] = spark.read.schema(f"`{key}` string").option("multiLine", "true").json(f"{folder}/{n}_manifest.json").where(present(F.col(key)))
+    return out

@@ -8,6 +8,7 @@ points and task results, orders and customers are studies and patients.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,9 @@ from pyspark.sql import functions as F
 
 from radspark.functions import metadata as md
 from radspark.functions import pixels as px
-from radspark.operators import catalog, metrics, quality, sampling, validation
+from radspark.operators import catalog, imaging, kernels, mammography, metrics, quality, sampling, validation
+from radspark.storage import shared_dir
+from radspark.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -479,3 +482,50 @@ def duplicate_images(spark, d):
 def dimension_gate(spark, d):
     p = table(spark, d, "part").select("p_partkey", (F.col("p_size") * 100).alias("height"), (F.col("p_size") * 150).alias("width"))
     return quality.gate(p)
+
+
+# --- kernels and streams ----------------------------------------------------
+
+
+def _packed(spark, d) -> DataFrame:
+    return imaging.pack(table(spark, d, "embeddings").select("vec_id", "label", "embedding"), "embedding", SIDE, SIDE)
+
+
+@query(_IMG + ", p as (select vec_id, list_transform(range(120), lambda k: case when k // 12 between 1 and 8 and k % 12 between 2 and 9 then a[(k // 12 - 1) * 8 + (k % 12 - 2) + 1] else 0.0::double end) a from i) "
+       "select vec_id, round(list_avg(a), 6) mean, round(list_stddev_pop(a), 6) std, list_min(a) low, list_max(a) high, len(a)::bigint pixels from p")
+def kernel_pad_statistics(spark, d):
+    s = imaging.statistics(imaging.transform(_packed(spark, d).drop("label"), [kernels.pad_to((10, 12))]))
+    return s.select("vec_id", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "low", "high", "pixels")
+
+
+@query(_IMG + " select vec_id, round(list_avg(a), 5) mean, 1::bigint as \"rows\" from i")
+def kernel_area_resize(spark, d):
+    s = imaging.statistics(imaging.transform(_packed(spark, d).drop("label"), [kernels.resize((1, 1))]))
+    return s.select("vec_id", F.round("mean", 5).alias("mean"), F.col("pixels").alias("rows"))
+
+
+@query()
+def kernel_mammograms(spark, d):
+    """Whole mammogram chain on enlarged images: analysis of each."""
+    big = imaging.transform(_packed(spark, d), [kernels.resize((64, 48)), kernels.intensity("zero_one")])
+    views = big.withColumns({"side": F.element_at(F.array(F.lit("L"), F.lit("R")), (F.col("vec_id") % 2 + 1).cast("int")), "view": F.element_at(F.array(F.lit("CC"), F.lit("MLO")), (F.col("vec_id") % 2 + 1).cast("int"))})
+    m = imaging.mammograms(views, "side", "view", config=mammography.Config(kernel=5))
+    return m.select("vec_id", "side", "view", "analysis.was_flipped", "analysis.breast_area_pixels", F.round("analysis.breast_area_fraction", 6).alias("breast_area_fraction"), "analysis.implant_detected", "error")
+
+
+@query("select time_bucket(interval 10 minutes, ts, timestamp '1970-01-01') as start_at, event_type as name, count(\"value\") as count, round(avg(\"value\"), 4) mean, min(\"value\") as min, max(\"value\") as max from events group by 1, 2")
+def window_metrics(spark, d):
+    w = ingest.windowed_metrics(table(spark, d, "events"))
+    return w.select(F.col("start").cast("timestamp_ntz").alias("start_at"), "name", "count", "mean", "min", "max")
+
+
+@query("select event_id, event_type, \"value\" from events qualify row_number() over (partition by event_id order by ts) = 1")
+def stream_dedup(spark, d):
+    """Every event enters twice; the stream lets each id through once."""
+    batch = table(spark, d, "events")
+    one = spark.readStream.schema(batch.schema).parquet(f"{d}/events.parquet*")
+    out = f"{shared_dir(spark)}/dedup-{uuid.uuid4().hex}"
+    once = ingest.dedup_stream(one.unionByName(one), "event_id", "ts").select("event_id", "event_type", "value")
+    q = once.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema(once.schema).parquet(f"{out}/rows")

@@ -200,3 +200,21 @@ splits: {train_fraction: 0.5, val_fraction: 0.25, seed: 1}
     assert cli.main(["validate", "--input", str(tmp_path / "tar" / "*.tar"), "--html", str(tmp_path / "r.html"), "--json", str(tmp_path / "r.json")]) == 0
     assert "Completeness" in (tmp_path / "r.html").read_text() and cli.main(["bench", "--input", str(root), "--repeats", "1"]) == 0
     assert session.build() is not None
+
+
+def test_logs_progress_and_manifests(spark, tmp_path):
+    from radspark import logs
+
+    log = logs.setup(path=str(tmp_path / "l"))
+    try:
+        1 / 0
+    except ZeroDivisionError:
+        log.exception("bad", extra={"stage": "s"})
+    line = json.loads((tmp_path / "l").read_text().splitlines()[0])
+    assert line["stage"] == "s" and line["exception"]["type"] == "ZeroDivisionError"
+    assert metrics.progress(3, 1, 8, 2.0) == {"fraction": 0.5, "rate": 2.0, "eta_sec": 2.0}
+    (tmp_path / "train_manifest.json").write_text('[{"patient_id": "a"}, {"patient_id": ""}, {"x": 1}]')
+    (tmp_path / "val_manifest.json").write_text('[{"patient_id": "a", "y": 2}, {"patient_id": "b"}]')
+    s = quality.split_manifests(spark, str(tmp_path))
+    r = quality.leakage(s, "patient_id").first()
+    assert (r["left_ids"], r["right_ids"], r["overlap"]) == (1, 2, 1)
