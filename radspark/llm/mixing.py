@@ -28,6 +28,8 @@ from radspark.llm.common import spool
 
 MARGINS = ("source", "lang", "topic")
 TOPICS, CYCLES, TEMPERATURE, RATE, SEED = 8, 6, 0.7, 0.8, "mix-1"
+#: Cells are broadcast to the documents up to this many; beyond it the join shuffles.
+BROADCAST_CELLS = 200_000
 
 
 def tokens(text: Column) -> Column:
@@ -80,6 +82,10 @@ def rake(cells: DataFrame, shares: dict[str, DataFrame], cycles: int = CYCLES, c
     return now
 
 
+def _beside(cells: DataFrame) -> DataFrame:
+    return F.broadcast(cells) if cells.count() <= BROADCAST_CELLS else cells
+
+
 def plan(docs: DataFrame, shares: dict[str, DataFrame] | None = None, temperature: float = TEMPERATURE, rate: float = RATE, cycles: int = CYCLES) -> DataFrame:
     """The raked cells: margins, tokens, w, factor (wanted over held share) and prob."""
     rows = described(docs)
@@ -93,7 +99,7 @@ def plan(docs: DataFrame, shares: dict[str, DataFrame] | None = None, temperatur
 def weigh(docs: DataFrame, **how) -> DataFrame:
     """doc_id, source, lang, topic, n_tokens, weight, prob, sampled for every row."""
     cells = plan(docs, **how).select(F.col("source").alias("_source"), F.col("lang").alias("_lang"), F.col("topic").alias("_topic"), "factor", "prob")
-    rows = described(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "_source", "_lang", "_topic", "_tokens").join(cells, ["_source", "_lang", "_topic"])
+    rows = described(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "_source", "_lang", "_topic", "_tokens").join(_beside(cells), ["_source", "_lang", "_topic"])
     return rows.select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"),
                        F.round("factor", 6).alias("weight"), F.round("prob", 6).alias("prob"), (uniform(F.col("doc_id")) < F.round("prob", 6)).alias("sampled"))
 
@@ -101,7 +107,7 @@ def weigh(docs: DataFrame, **how) -> DataFrame:
 def sample(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` that are sampled, with their columns."""
     cells = plan(docs, **how).select(F.col("source").alias("_source"), F.col("lang").alias("_lang"), F.col("topic").alias("_topic"), F.col("prob").alias("_prob"))
-    rows = described(docs).join(cells, ["_source", "_lang", "_topic"])
+    rows = described(docs).join(_beside(cells), ["_source", "_lang", "_topic"])
     return rows.where(uniform(F.col("doc_id")) < F.round("_prob", 6)).select(*docs.columns)
 
 
