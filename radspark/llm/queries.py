@@ -72,4 +72,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ffd_packing": op9_ffd_packing,
     "op10_backoff_langid": op10_backoff_langid,
 }
-ORACLE_SQL: dict[str, str] = {"op5_ipf_mixing": mixing.oracle_sql()}
+
+#: Components: pairs of nodes that reach one another, from symmetric links (a, b).
+_REACH = "r as (select a n, a c from l union select r.n, l.b from r join l on r.c = l.a), k as (select n, min(c) c from r group by 1)"
+
+OP4_SQL = f"""with recursive v as (select vec_id, label, embedding::double[] e from embeddings where label is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+and list_max(list_transform(embedding, lambda x: abs(x))) > 0),
+l as (select x.vec_id a, y.vec_id b from v x join v y on x.label = y.label and x.vec_id <> y.vec_id and len(x.e) = len(y.e) and list_cosine_similarity(x.e, y.e) >= 0.93::double), {_REACH}
+select vec_id, coalesce(n, 0)::bigint n_links, coalesce(c, vec_id) component_id, coalesce(c, vec_id) = vec_id kept, 1.0::double audit_recall
+from embeddings left join (select a vec_id, count(*) n from l group by 1) using (vec_id) left join (select n vec_id, c from k) using (vec_id)"""
+
+OP6_SQL = f"""with recursive w as materialized (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') w from documents),
+s as materialized (select distinct doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i : i + 4], ' '))) g from w where len(w) > 0),
+n as (select doc_id, count(*) n from s group by 1),
+p as (select x.doc_id a, y.doc_id b, count(*) m from s x join s y on x.g = y.g and x.doc_id <> y.doc_id group by 1, 2),
+l as materialized (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * m >= 75 * (x.n + y.n - m)), {_REACH}
+select doc_id, coalesce(n.n, 0)::bigint n_shingles, coalesce(c, doc_id) component_id, coalesce(c, doc_id) = doc_id kept
+from documents left join n using (doc_id) left join (select n doc_id, c from k) using (doc_id)"""
+
+ORACLE_SQL: dict[str, str] = {"op4_graph_neardup": OP4_SQL, "op5_ipf_mixing": mixing.oracle_sql(), "op6_minhash_dedup": OP6_SQL}
