@@ -90,11 +90,11 @@ def equalise(a: Column, bins: int = 16) -> Column:
         bin_of = lambda v: F.least(F.floor((v - b["lo"]) / ((b["hi"] - b["lo"]) / bins)), F.lit(bins - 1)).cast("int")
         counts = F.aggregate(F.when(b["hi"] > b["lo"], F.transform(a, bin_of)), F.array_repeat(F.lit(0), bins),
                              lambda acc, k: F.transform(acc, lambda c, i: c + (i == k).cast("int")))
-        cdf = F.transform(counts, lambda _, i: F.aggregate(F.slice(counts, F.lit(1), i + 1), F.lit(0), lambda s, c: s + c))
-        facts = F.array(F.struct(cdf.alias("cdf")))
-        return F.when(b["hi"] > b["lo"], F.transform(facts, lambda f: F.transform(
-            a, lambda v: (F.element_at(f["cdf"], bin_of(v) + 1) - F.array_min(F.filter(f["cdf"], lambda c: c > 0))).cast("double")
-            / F.greatest(F.element_at(f["cdf"], -1) - F.array_min(F.filter(f["cdf"], lambda c: c > 0)), F.lit(1))))[0]).otherwise(F.transform(a, lambda v: F.lit(0.0)))
+        # one-element arrays bind what would be computed anew for every pixel
+        cdf = F.transform(F.array(counts), lambda n: F.transform(n, lambda _, i: F.aggregate(F.slice(n, F.lit(1), i + 1), F.lit(0), lambda s, c: s + c)))[0]
+        ends = F.transform(F.array(cdf), lambda c: F.struct(c.alias("cdf"), F.array_min(F.filter(c, lambda v: v > 0)).alias("least"), F.element_at(c, -1).alias("last")))
+        scaled = F.transform(ends, lambda f: F.transform(a, lambda v: (F.element_at(f["cdf"], bin_of(v) + 1) - f["least"]).cast("double") / F.greatest(f["last"] - f["least"], F.lit(1))))[0]
+        return F.when(b["hi"] > b["lo"], scaled).otherwise(F.transform(a, lambda v: F.lit(0.0)))
 
     return F.transform(bound, one)[0]
 

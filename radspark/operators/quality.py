@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from radspark.storage import spool
+
 # Default fields and limits of the quality report.
 REQUIRED_FIELDS = ("patient_id", "study_instance_uid", "modality", "manufacturer", "rows", "columns", "bits_stored", "image_laterality", "view_position")
 IQR_FACTOR, Z_LIMIT, COMPLETE_LIMIT, SEVERE_RATIO, BETA, OUTLIER_WARNING, SMALL_DATA, LOW_VARIANCE, BINS = 1.5, 3.0, 0.95, 10.0, 0.9999, 0.05, 1000, 0.01, 50
@@ -137,7 +139,15 @@ def leaked_ids(left: DataFrame, right: DataFrame, key: str, top: int = 20) -> Da
 
 
 def report(df: DataFrame, values: Sequence[str], categories: Sequence[str], label: str | None = None, required: Sequence[str] | None = None) -> DataFrame:
-    """The unified report as tidy rows (section, metric, key, value), with warnings and advice as rows of value 1."""
+    """The unified report as tidy rows (section, metric, key, value), with warnings and advice as rows of value 1.
+
+    With the fields given, the columns it needs are written once, narrow; joins
+    and wide scans behind ``df`` are then not repeated for every section.
+    """
+    if required is not None:
+        needed = dict.fromkeys([*values, *categories, *([label] if label else []), *[f for f in required if f in df.columns]])
+        df = spool(df.select(*needed))
+
     def tall(one: DataFrame, section: str, key: str, metrics: Sequence[str]) -> DataFrame:
         cells = [F.struct(F.lit(section).alias("section"), F.lit(m).alias("metric"), F.lit(key).alias("key"), F.col(m).cast("double").alias("value")) for m in metrics]
         return one.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
