@@ -7,11 +7,23 @@ checkpoint folder, so that a lost executor costs a re-read, not a recomputation.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from radspark.storage import spool
 
+#: Rows of one Arrow batch: texts of a corpus are long, and a worker holds a batch more than once.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hold the session's Arrow batches to ``BATCH_ROWS``; smaller settings stay."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph, by hooking and contraction.
 

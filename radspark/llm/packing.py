@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 CAPACITY = 2048
 GROUP_DOCS = 4096
 #: Words whose ids a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, row long"
 PACKED = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from radspark.llm import gam, html_blocks, langid, licenses, minhash, mixing, packing, pii, tiff, vectors
+from radspark.llm.common import small_batches
 
 
 def _tokenizer() -> str:
@@ -16,6 +17,7 @@ def _tokenizer() -> str:
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
