@@ -39,7 +39,7 @@ from radspark.llm.common import components, spool
 
 LEAST = 0.93
 SHARD, BLOCK, QUERIES = 512, 1024, 4096
-SPREAD = 0.15
+SPREAD = 0.08
 DEGREE, POOL, ALPHA, FAR, BEAM, MEDOIDS = 20, 64, 1.2, 4, 24, 12
 #: Numbers in the sample that centroids are fitted on, and rows of the audit.
 SAMPLE_NUMBERS, AUDIT_ROWS = 2_000_000, 200
