@@ -3,7 +3,8 @@
 1. Equal vectors of a label form a class; one stands for it, with its count.
 2. Spherical k-means on a bounded sample gives centroids for each label. Every
    vector belongs to its nearest centroid's shard, and also to each shard whose
-   centroid is nearly as near (``SPREAD`` radians), so shards overlap. Shards
+   centroid is nearly as near (``SPREAD`` radians), so shards overlap. A link
+   counts for both ends, in the first shard that both lie in. Shards
    above ``BLOCK`` vectors are dealt out by hash into parts; every part gets
    all of the shard's queries, in blocks, so nothing is dropped and no task
    holds more than a part and a block of queries.
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +41,7 @@ from radspark.llm.common import components, spool
 
 LEAST = 0.93
 SHARD, BLOCK, QUERIES = 512, 1024, 4096
-SPREAD = 0.08
+SPREAD = 0.15
 DEGREE, POOL, ALPHA, FAR, BEAM, MEDOIDS = 20, 64, 1.2, 4, 24, 12
 #: Numbers in the sample that centroids are fitted on, and rows of the audit.
 SAMPLE_NUMBERS, AUDIT_ROWS = 2_000_000, 200
@@ -207,6 +209,16 @@ def search(q: np.ndarray, x: np.ndarray, adj: np.ndarray, entries: np.ndarray, l
     return np.nonzero(hit)
 
 
+def _lower(homes: pa.ListArray, shard: int) -> np.ndarray:
+    """By row, which of the shards before ``shard`` a vector lies in (1 or 0, a column for each that occurs)."""
+    row, at = np.repeat(np.arange(len(homes)), pa.compute.list_value_length(homes).to_numpy()), homes.flatten().to_numpy()
+    row, at = row[at < shard], at[at < shard]
+    kinds, col = np.unique(at, return_inverse=True)
+    out = np.zeros((len(homes), len(kinds)), np.float32)
+    out[row, col] = 1
+    return out
+
+
 def near_duplicates(vectors: DataFrame, least: float = LEAST, spread: float = SPREAD, block: int = BLOCK) -> DataFrame:
     """vec_id, n_links, component_id, kept, audit_recall for every row of ``vectors`` (vec_id, embedding, label)."""
     spark = vectors.sparkSession
@@ -219,28 +231,26 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, spread: float = SP
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            take, shards, own = [], [], []
+            take, shards, homes = [], [], []
             labels, vs = b.column(1).to_pylist(), b.column(2)
             for r, lab in enumerate(labels):
                 v = vs[r].values.to_numpy()
                 c = cents.value.get((lab, len(v)))
                 if c is None:  # none of its kind is in the sample: one shard
-                    near, order = [0], [True]
+                    near = [0]
                 else:
                     ang = np.arccos(np.clip(c @ v, -1, 1))
-                    first = int(ang.argmin())
-                    near = np.flatnonzero(ang <= ang[first] + spread).tolist()
-                    order = [k == first for k in near]
+                    near = np.flatnonzero(ang <= ang.min() + spread).tolist()
                 take += [r] * len(near)
                 shards += near
-                own += order
+                homes += [near] * len(near)
             t = pa.array(take, pa.int32())
             cols = [c.take(t) for c in b.columns]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(shards, pa.int32()), pa.array(own, pa.bool_())],
-                                             names=["vec_id", "label", "v", "weight", "shard", "own"])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(shards, pa.int32()), pa.array(homes, pa.list_(pa.int32()))],
+                                             names=["vec_id", "label", "v", "weight", "shard", "homes"])
 
     placed = spool(reps.select("vec_id", "label", "v", "weight").mapInArrow(
-        assign, "vec_id long, label string, v array<double>, weight long, shard int, own boolean").withColumn("dim", F.size("v")))
+        assign, "vec_id long, label string, v array<double>, weight long, shard int, homes array<int>").withColumn("dim", F.size("v")))
     shard_key = ["label", "dim", "shard"]
     sizes = spool(placed.groupBy(*shard_key).agg(F.count(F.lit(1)).alias("size")))
     parts = F.ceil(F.col("size") / block).cast("int")
@@ -261,14 +271,14 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, spread: float = SP
     union = spool(built.groupBy("vec_id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")))  # a list for each shard
 
     targets = (nodes.join(union, "vec_id").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-               .select("vec_id", "v", "weight", "near", "own", *shard_key, "part", "block", F.lit(True).alias("target")))
+               .select("vec_id", "v", "weight", "near", "homes", *shard_key, "part", "block", F.lit(True).alias("target")))
     queries = (dealt.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
-               .select("vec_id", "v", "weight", F.array().cast("array<long>").alias("near"), "own", *shard_key, "part",
+               .select("vec_id", "v", "weight", F.array().cast("array<long>").alias("near"), "homes", *shard_key, "part",
                        F.pmod(F.xxhash64("vec_id", F.lit(2)), blocks).cast("int").alias("block"), F.lit(False).alias("target")))
 
     def walk(key, table):
         ids, weight = table.column("vec_id").to_numpy(), table.column("weight").to_numpy()
-        target, own = (table.column(c).to_numpy(zero_copy_only=False) for c in ("target", "own"))
+        target = table.column("target").to_numpy(zero_copy_only=False)
         v = _matrix(table.column("v"), table.num_rows)
         t, q = np.flatnonzero(target), np.flatnonzero(~target)
         if not len(t) or not len(q):
@@ -281,21 +291,33 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, spread: float = SP
         for k, nb in enumerate(lists):
             adj[k, : len(nb)] = nb
         x, entries = v[t], _medoids(v[t], MEDOIDS)
-        links, root_q, root_t = np.zeros(len(q), np.int64), ids[q].copy(), ids[t].copy()
+        root_q, root_t = ids[q].copy(), ids[t].copy()
+        hits = np.zeros((len(q), len(t)), bool)
         for lo in range(0, len(q), 256):
             part_q = q[lo : lo + 256]
             a, b = search(v[part_q], x, adj, entries, least)
-            other = own[t[b]] & (ids[t[b]] != ids[part_q[a]])
+            other = ids[t[b]] != ids[part_q[a]]
             a, b = a[other], b[other]
-            np.add.at(links, lo + a, weight[t[b]])
+            hits[lo + a, b] = True
             while len(a):  # smallest member that these links reach
                 was_q, was_t = root_q[lo + a].sum(), root_t[b].sum()
                 np.minimum.at(root_q, lo + a, root_t[b])
                 np.minimum.at(root_t, b, root_q[lo + a])
                 if was_q == root_q[lo + a].sum() and was_t == root_t[b].sum():
                     break
+        _, both_q, both_t = np.intersect1d(ids[q], ids[t], return_indices=True)
+        same = hits[np.ix_(both_q, both_t)]
+        hits[np.ix_(both_q, both_t)] = same | same.T  # found from either end
+        lower = _lower(table.column("homes").combine_chunks(), key[2].as_py())
+        links, links_t = np.zeros(len(q), np.int64), np.zeros(len(t), np.int64)
+        for lo in range(0, len(q), 256):  # a link counts once, for both ends: from the smaller id, in the first shard that both ends lie in
+            part_q = q[lo : lo + 256]
+            count = hits[lo : lo + 256] & (ids[part_q][:, None] < ids[t]) & (lower[part_q] @ lower[t].T == 0)
+            a, b = np.nonzero(count)
+            np.add.at(links, lo + a, weight[t[b]])
+            np.add.at(links_t, b, weight[part_q[a]])
         every = np.concatenate([ids[q], ids[t]])
-        roots, n = np.concatenate([root_q, root_t]), np.concatenate([links, np.zeros(len(t), np.int64)])
+        roots, n = np.concatenate([root_q, root_t]), np.concatenate([links, links_t])
         some_ = (n > 0) | (roots != every)
         return pa.table({"vec_id": pa.array(every[some_], pa.int64()), "links": pa.array(n[some_], pa.int64()), "root": pa.array(roots[some_], pa.int64())})
 

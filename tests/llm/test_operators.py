@@ -220,6 +220,27 @@ def test_op4_hot_shard_in_parts(spark):
     assert vectors.near_duplicates(df.limit(0)).count() == 0
 
 
+def spread_out(n, pairs, seed=4, dim=64, at=0.94):
+    """Random unit vectors over many shards; each of the first ``pairs`` has a partner at cosine ``at``."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    off = rng.normal(size=(pairs, dim))
+    off -= (off * x[:pairs]).sum(axis=1, keepdims=True) * x[:pairs]
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    return np.concatenate([x, at * x[:pairs] + np.sqrt(1 - at * at) * off])
+
+
+def test_op4_spread_out_links(spark):
+    n, pairs = 4500, 1500
+    df = spark.createDataFrame([(i, v.tolist(), "a") for i, v in enumerate(spread_out(n, pairs))], "vec_id long, embedding array<double>, label string")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_duplicates(df).collect()}
+    ends = [(got[i], got[n + i]) for i in range(pairs)]
+    assert all(a == b for a, b in ends)  # a link counts for both ends
+    assert np.mean([a == (1, i) for i, (a, _) in enumerate(ends)]) >= 0.985
+    assert all(got[i] == (0, i) for i in range(pairs, n))
+
+
 # --- 5 ---
 
 
