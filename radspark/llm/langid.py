@@ -5,9 +5,9 @@ back to character n-grams: the longest order of which the model knows any
 piece of the word speaks for it, from ``max_order`` down to single characters.
 
 Learning: about ``docs_per_lang`` documents of each language, chosen by hash
-with a rate from counts over all documents (documented bound); words seen twice
-or more and n-grams seen three times or more, at most ``max_words`` and
-``max_grams`` of them. Prediction reads every whole text.
+with a rate from counts over all documents (documented bound); all words seen
+twice or more and all n-grams seen three times or more in them. Prediction
+reads every whole text.
 
 Defined results: null texts and texts without a letter give ``und`` with score
 0; without a model every text does; ties go to the language that sorts first;
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from radspark.llm.common import spool
 from radspark.llm.gam import bucket
 
-MAX_ORDER, DOCS_PER_LANG, MAX_WORDS, MAX_GRAMS = 5, 2500, 80_000, 80_000
+MAX_ORDER, DOCS_PER_LANG = 5, 2500
 #: Counts by language are broadcast up to this many languages; beyond it the join shuffles.
 BROADCAST_LANGS = 10_000
 UNKNOWN = "und"
@@ -99,8 +99,7 @@ class Model:
         return predict
 
 
-def learn(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, max_order: int = MAX_ORDER, max_words: int = MAX_WORDS,
-          max_grams: int = MAX_GRAMS) -> Model:
+def learn(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, max_order: int = MAX_ORDER) -> Model:
     """Fit on text and lang of documents whose crc32(doc_id) mod 4 is not 2."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.coalesce(bucket("doc_id", 4) != 2, F.lit(False)))
@@ -131,10 +130,7 @@ def learn(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, max_order: int =
     total = F.sum("c").alias("total")
     by_piece = spool(counts.groupBy("n", "piece").agg(total, F.sort_array(F.collect_list(F.struct("lang", "c"))).alias("by"))  # as many as languages
                      .where(F.col("total") >= F.when(F.col("n") == 0, 2).otherwise(3)))
-    order = [F.desc("total"), "n", "piece"]
-    words = by_piece.where("n = 0").orderBy(*order).limit(max_words)
-    grams = by_piece.where("n > 0").orderBy(*order).limit(max_grams)
-    got = words.unionByName(grams).select("n", "piece", F.explode("by").alias("b")).select("n", "piece", "b.lang", "b.c").orderBy("n", "piece", "lang").toArrow()
+    got = by_piece.select("n", "piece", F.explode("by").alias("b")).select("n", "piece", "b.lang", "b.c").orderBy("n", "piece", "lang").toArrow()
     order_col, lang_col, count = got.column("n").to_numpy(), got.column("lang").to_pylist(), got.column("c").to_numpy()
     langs = sorted(set(lang_col))
     at = {g: i for i, g in enumerate(langs)}
@@ -154,7 +150,7 @@ def learn(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, max_order: int =
 
 def predict(docs: DataFrame, model: Model, max_order: int = MAX_ORDER) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # max_words + max_grams entries at most
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample and the least counts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tell = shared.value.predictor(max_order)

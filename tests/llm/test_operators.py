@@ -5,6 +5,7 @@ import random
 import re
 import struct
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -574,3 +575,13 @@ def test_op10_backs_off(spark):
     assert [got[i][0] for i in (0, 1, 6, 7)] == ["de", "en", "en", "de"] and [got[i] for i in (2, 3, 4)] == [("und", 0.0)] * 3
     none = langid.learn(docs.limit(0))
     assert {r["lang_pred"] for r in langid.predict(ask, none).collect()} == {"und"} and none.langs == []
+
+
+def test_op10_keeps_every_piece(spark):
+    words = ["".join("abcdefghijklmnop"[i >> s & 15] for s in (0, 4, 8, 12, 16)) for i in range(90_000)]
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, " ".join(2 * words[k :: len(ids)]), "en" if i % 2 else "de") for k, i in enumerate(ids)]
+    m = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(m.words) == set(words)
+    tally = Counter(g for w in words for n in range(1, langid.MAX_ORDER + 1) for g in langid.grams_of(w, n) for _ in range(2))
+    assert set(m.grams) == {g for g, c in tally.items() if c >= 3}
