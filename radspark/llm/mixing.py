@@ -2,9 +2,12 @@
 
 Token counts are summed by cell (source, language, topic). Cell weights are
 raked in turn to the wanted shares of sources, languages and topics until the
-margins fit. A document's inclusion probability is its cell's factor times the
-sampling rate (1 at most); a hash of its id decides, so the choice is the same
-on every run and on every cluster.
+margins fit. A document is wanted its cell's factor times the sampling rate
+times; a hash of its id decides, so the choice is the same on every run and on
+every cluster. ``sample`` emits a document as often as it is wanted: the whole
+part in copies, the rest by the hash, so the margins of the sample fit. The
+rows of ``weigh`` are one a document: their ``prob`` is the chance that it is
+in the sample at all (1 at most), ``weight`` is the whole factor.
 
 Everything is a DataFrame of cells, cut off after each cycle; only the largest
 deviation comes to the driver.
@@ -87,13 +90,13 @@ def _beside(cells: DataFrame) -> DataFrame:
 
 
 def plan(docs: DataFrame, shares: dict[str, DataFrame] | None = None, temperature: float = TEMPERATURE, rate: float = RATE, cycles: int = CYCLES) -> DataFrame:
-    """The raked cells: margins, tokens, w, factor (wanted over held share) and prob."""
+    """The raked cells: margins, tokens, w, factor (wanted over held share), times (expected copies of a document) and prob."""
     rows = described(docs)
     cells = spool(rows.groupBy(F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic")).agg(F.sum("_tokens").alias("tokens")))
     shares = shares or {m: spool(wanted_shares(cells, m, temperature)) for m in MARGINS}
     total = cells.agg(F.sum("tokens").cast("double").alias("all"))  # one row
     factor = F.col("w") * F.col("all") / F.col("tokens")
-    return spool(rake(cells, shares, cycles).join(F.broadcast(total)).select(*MARGINS, "tokens", "w", factor.alias("factor"), F.least(factor * rate, F.lit(1.0)).alias("prob")))
+    return spool(rake(cells, shares, cycles).join(F.broadcast(total)).select(*MARGINS, "tokens", "w", factor.alias("factor"), (factor * rate).alias("times"), F.least(factor * rate, F.lit(1.0)).alias("prob")))
 
 
 def weigh(docs: DataFrame, **how) -> DataFrame:
@@ -105,10 +108,12 @@ def weigh(docs: DataFrame, **how) -> DataFrame:
 
 
 def sample(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` that are sampled, with their columns."""
-    cells = plan(docs, **how).select(F.col("source").alias("_source"), F.col("lang").alias("_lang"), F.col("topic").alias("_topic"), F.col("prob").alias("_prob"))
+    """The rows of ``docs`` that are sampled, with their columns, each as often as its cell asks for."""
+    cells = plan(docs, **how).select(F.col("source").alias("_source"), F.col("lang").alias("_lang"), F.col("topic").alias("_topic"), F.round("times", 6).alias("_times"))
     rows = described(docs).join(_beside(cells), ["_source", "_lang", "_topic"])
-    return rows.where(uniform(F.col("doc_id")) < F.round("_prob", 6)).select(*docs.columns)
+    whole = F.floor("_times")
+    copies = whole + (uniform(F.col("doc_id")) < F.round(F.col("_times") - whole, 6)).cast("long")
+    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), copies.cast("int")))).select(*docs.columns)
 
 
 def oracle_sql(temperature: float = TEMPERATURE, rate: float = RATE, cycles: int = CYCLES, topics: int = TOPICS, seed: str = SEED) -> str:

@@ -275,6 +275,23 @@ def test_op5_sql(spark, sf):
     assert len(a) == want.shape[0] and {r[want.columns.index("doc_id")] for r in want.fetchall() if r[-1]} == {r["doc_id"] for r in queries.op5_ipf_mixing(spark, sf).where("sampled").collect()}
 
 
+def test_op5_sample_meets_targets(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(12)), rng.choice(["en"] * 20 + ["de"] * 4 + ["es"]), rng.choice(["hot"] * 12 + ["a", "b", "c"]), "t") for i in range(8000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, topic string")
+    n, got = Counter(), Counter()
+    for r in rows:
+        n.update([r[2], r[3]])
+    got_rows = mixing.sample(df, cycles=4).select("doc_id", "lang", "source").collect()
+    for r in got_rows:
+        got.update([r["lang"], r["source"]])
+    for kind in (("en", "de", "es"), ("hot", "a", "b", "c")):
+        wanted = {g: n[g] ** mixing.TEMPERATURE for g in kind}
+        for g in kind:
+            assert abs(got[g] / len(got_rows) / (wanted[g] / sum(wanted.values())) - 1) < 0.05, g
+    assert abs(len(got_rows) / len(rows) / mixing.RATE - 1) < 0.03
+
+
 # --- 6 ---
 
 
