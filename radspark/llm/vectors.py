@@ -13,7 +13,9 @@
    that a vector got in its different shards are united.
 4. Queries walk a part's graph greedily with a beam from several medoids, then
    the range expands from every hit to its neighbours until no new one is
-   within it. Hits are verified in double precision; only counts and one link
+   within it. Both stop at the part: edges to other parts are not followed, so
+   links between vectors that share no shard are not found (a query enters
+   every part of its own shards from that part's medoids). Hits are verified in double precision; only counts and one link
    to the part's smallest member of the same group are passed on.
 5. Recall is audited against brute force for a bounded sample of queries
    (column ``audit_recall``; links found over links there are).
