@@ -16,7 +16,10 @@
 
 Links are exact (100 * intersection >= 75 * union on whole sets); a true link
 is missed only if fewer than ``matches`` of ``coords`` minima agree (13 of 32:
-about 2 in 100,000 at similarity 0.75, less above).
+about 2 in 100,000 at similarity 0.75, less above), or, in the step across
+components and for sets above ``LOW`` shingles, if the estimate from their
+smallest hashes falls 4.5 deviations short (about 1 in 300,000 at similarity
+0.75, less above).
 
 Defined results: null texts and texts without words have an empty set and link
 with nothing; rows that repeat a doc_id are one node of the graph, each row is
