@@ -247,22 +247,57 @@ def test_op4_spread_out_links(spark):
 
 def test_op5_margins_meet_targets(spark):
     docs = read(spark, "/root/testdata/sf0.01", "documents")
-    cells = mixing.plan(docs, cycles=25).toPandas()
-    t = cells.tokens / cells.tokens.sum()
+    r = mixing.weigh(docs, cycles=25).toPandas()
+    assert len(r) == docs.count() and (r.prob.between(0, 1)).all() and (r.copies - r.times).abs().max() < 1
+    r["wanted"] = r.times * r.n_tokens
     for m in mixing.MARGINS:
-        share = cells.assign(t=t).groupby(m).t.sum() ** mixing.TEMPERATURE
-        held = cells.groupby(m).w.sum()
-        assert np.allclose(held, share / share.sum(), atol=2e-4)
-    r = mixing.weigh(docs).toPandas()
-    assert len(r) == docs.count() and abs((r.n_tokens * r.sampled).sum() / (r.n_tokens * r.prob).sum() - 1) < 0.1
+        share = r.groupby(m).n_tokens.sum() ** mixing.TEMPERATURE
+        held = r.groupby(m).wanted.sum()
+        assert np.allclose(held / held.sum(), share / share.sum(), rtol=2e-3)
+    assert abs(r.wanted.sum() / r.n_tokens.sum() - mixing.RATE) < 1e-4 and abs((r.copies * r.n_tokens).sum() / r.wanted.sum() - 1) < 0.1
+
+
+def test_op5_frame_equals_arrays(spark, sf):
+    docs = read(spark, sf, "documents")
+    want = spark.createDataFrame([("en", 0.5), ("de", 0.3), ("es", 0.2)], "lang string, share double")  # fr has no target
+    cells = mixing.described(docs).select("d.*").groupBy(*mixing.MARGINS).agg(mixing.F.sum("tokens").alias("tokens")).cache()
+    shares = {m: mixing.wanted_shares(cells, m) for m in ("source", "topic")} | {"lang": want}
+    few, many = (sorted(map(tuple, mixing.plan(mixing.described(docs), shares, small=k).select(*mixing.MARGINS, "tokens", "times").collect())) for k in (10**6, 0))
+    assert [r[:4] for r in few] == [r[:4] for r in many] and np.allclose([r[4] for r in few], [r[4] for r in many], atol=2e-6)
+    assert all(r[4] == 0 for r in few if r[1] == "fr") and any(r[4] > 0 for r in few)
+
+
+def brute_topic(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    votes = Counter()
+    for w in words:
+        raw = bytes(c + 32 if 65 <= c <= 90 else c for c in w.encode())
+        if len(raw) >= mixing.LEAST_BYTES:
+            votes[(sum(c * pow(mixing.BASE, k, 2**32) for k, c in enumerate(raw)) % 2**32 >> 16) % mixing.TOPICS] += 1
+    return len(words), max(range(mixing.TOPICS), key=lambda k: (votes[k], -k))
+
+
+def test_op5_topics_of_whole_texts(monkeypatch):
+    rng = random.Random(3)
+    texts = [t or "" for t in ODD] + [" ".join("".join(rng.choice("abcdeXYZé") for _ in range(rng.randint(1, 12))) for _ in range(rng.choice([1, 30, 700]))) for _ in range(40)]
+    for segment in (1 << 20, 64):
+        monkeypatch.setattr(mixing, "SEGMENT", segment)
+        n, votes = mixing.count_words([t.encode() for t in texts])
+        assert [(int(a), int(v.argmax())) for a, v in zip(n, votes)] == [brute_topic(t) for t in texts]
 
 
 def test_op5_odd(spark):
     df = docs_of(spark, ODD, extra=True)
     r = mixing.weigh(df).collect()
     assert len(r) == len(ODD) and all(0 <= x["prob"] <= 1 and x["n_tokens"] >= 1 for x in r)
-    assert mixing.sample(df).columns == df.columns and mixing.weigh(df.limit(0)).count() == 0
+    assert mixing.sample(df).columns == df.columns and mixing.weigh(df.limit(0)).count() == 0 and mixing.sample(df.limit(0)).count() == 0
     assert mixing.sample(df.withColumn("topic", df["lang"])).columns[-1] == "topic"
+    twice = df.unionByName(df)
+    seen = Counter((x["doc_id"], x["copies"]) for x in mixing.weigh(twice).collect())
+    assert all(n == 2 for n in seen.values()) and len(seen) == len(ODD)
+    clash = df.select("*", *[mixing.F.concat(mixing.F.lit(f"{c}-"), "doc_id").alias(c) for c in ("_prob", "_lang", "row", "d", "cell", "copies", "times", "tokens", "a.b")])
+    got = mixing.sample(clash).collect()
+    assert got and all(x["_lang"] == f"_lang-{x['doc_id']}" and x["a.b"] == f"a.b-{x['doc_id']}" and x["row"] == f"row-{x['doc_id']}" for x in got)
 
 
 def test_op5_sql(spark, sf):
@@ -271,8 +306,8 @@ def test_op5_sql(spark, sf):
     c = duckdb.connect()
     c.execute(f"create view documents as select * from '{sf}/documents.parquet'")
     want = c.sql(queries.ORACLE_SQL["op5_ipf_mixing"])
-    a = sorted(map(str, queries.op5_ipf_mixing(spark, sf).select(want.columns).collect()))
-    assert len(a) == want.shape[0] and {r[want.columns.index("doc_id")] for r in want.fetchall() if r[-1]} == {r["doc_id"] for r in queries.op5_ipf_mixing(spark, sf).where("sampled").collect()}
+    got = queries.op5_ipf_mixing(spark, sf).select(want.columns).collect()
+    assert sorted(map(tuple, got)) == sorted(want.fetchall())
 
 
 def test_op5_sample_meets_targets(spark):
@@ -524,6 +559,15 @@ def test_word_encoder_equals_tokenizer(spark, sf, tokenizer):
         assert np.frombuffer(raw, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t[:80]
 
 
+def test_word_encoder_forgets(spark, sf, tokenizer):
+    enc = packing.WordEncoder(queries._tokenizer(), remembered=50)
+    texts = [r["text"] or "" for r in read(spark, sf, "documents").limit(60).collect()] + ["x" * 500 + " ab, ab ab!", ""]
+    for _ in range(2):
+        for t in texts:
+            assert np.frombuffer(enc.batch([t])[0], "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+            assert all(len(w) <= packing.LONG_WORD for w in enc.known)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.text(alphabet=st.characters(codec="utf-8"), max_size=40), max_size=5))
 def test_word_encoder_on_any_text(texts):
