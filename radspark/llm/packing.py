@@ -17,14 +17,15 @@ import math
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CAPACITY = 2048
 GROUP_DOCS = 4096
-#: Words whose ids a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 250_000
+#: Words in each of the two generations that a worker remembers, and the longest of them.
+REMEMBERED, LONG_WORD = 300_000, 64
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, row long"
 PACKED = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
@@ -34,86 +35,85 @@ class WordEncoder:
     """Token ids of texts, as little-endian unsigned 32-bit bytes, equal to the tokenizer's.
 
     The tokenizer drops white space and never merges across it, so the ids of a
-    text are those of its words in turn. Each word is encoded once and
-    remembered. Texts outside Latin-1, or with separators on which Python and
-    the tokenizer disagree, go to the tokenizer whole.
+    text are those of its words in turn. Words are encoded once and remembered
+    in two generations: a word that is met again moves to the young one; when
+    that is full it becomes the old one, and the old one goes. Words above
+    ``LONG_WORD`` characters are not remembered, which bounds the memory in
+    bytes. Texts outside Latin-1, or with separators on which Python and the
+    tokenizer disagree, go to the tokenizer whole.
     """
 
     odd = ("\x1c", "\x1d", "\x1e", "\x1f")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         vocab = self.tok.get_vocab()
-        self.ends = {i for w, i in vocab.items() if w.endswith("</w>")}
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+        self.remembered = remembered
         self.known: dict[str, bytes] = {}
-
-    @staticmethod
-    def _bytes(ids: list[int]) -> bytes:
-        return b"".join([i.to_bytes(4, "little") for i in ids])
+        self.old: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        return self._bytes(self.tok.encode(text, add_special_tokens=False).ids)
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn_letters(self, words: list[str]) -> None:
-        """Words of letters only: encode many at once; each ends with an end-of-word token."""
+    def _letters(self, words: list[str]) -> dict[str, bytes]:
+        """Words of letters only: encoded in one call; each ends with an end-of-word token."""
         if not words:
-            return
-        out, at = [], 0
-        for i in self.tok.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids:
-            out.append(i.to_bytes(4, "little"))
-            if i in self.ends:
-                self.known[words[at]] = b"".join(out)
-                out, at = [], at + 1
+            return {}
+        ids = np.array(self.tok.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        raw, stops = ids.tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+        return {w: raw[a:z] for w, a, z in zip(words, [0, *stops], stops)}
 
     def learn(self, words: set[str]) -> None:
-        known = self.known
-        letters, split = [], []
+        """Put words that neither generation holds into the young one."""
+        known, old, cores, split = self.known, self.old, set(), []
         for w in words:
             if w.isalpha():
-                letters.append(w)
+                cores.add(w)
+                continue
+            core = w.rstrip(".,;:!?*#$%&|()[]{}/=+-_~^@<>\"'")
+            if core.isalpha():
+                split.append((w, core, w[len(core):]))
+                if core not in known and core not in old:
+                    cores.add(core)
             else:
-                core = w.rstrip(".,;:!?*#$%&|()[]{}/=+-_~^@<>\"'")
-                if core.isalpha():
-                    split.append((w, core, w[len(core):]))
-                else:
-                    known[w] = self.whole(w)
-        fresh = set(letters)
-        fresh.update(c for _, c, _ in split if c not in known)
-        self._learn_letters(list(fresh))
+                known[w] = self.whole(w)
+        fresh = self._letters(list(cores))
+        known.update((w, fresh[w]) for w in words & fresh.keys())
         for w, core, tail in split:
-            if tail not in known:
-                known[tail] = self.whole(tail)
-            known[w] = known[core] + known[tail]
+            end = known.get(tail) or old.get(tail)
+            if end is None:
+                end = known[tail] = self.whole(tail)
+            known[w] = (fresh.get(core) or known.get(core) or old[core]) + end
 
-    def batch(self, texts: list[str]) -> Iterator[bytes]:
+    def batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; texts are lowered word by word where that can't matter."""
-        todo: list[tuple[str, list[str] | None]] = []
-        new: set[str] = set()
-        for t in texts:
-            plain = t.isascii()
-            if not plain:
-                try:
-                    t.encode("latin-1")
-                    plain = True
-                except UnicodeEncodeError:
-                    pass
-            if plain and not any(c in t for c in self.odd):
-                words = t.lower().split()
-                new.update(words)
-                todo.append((t, words))
-            else:
-                todo.append((t, None))
-        new.difference_update(self.known.keys())
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new.update(*(w for _, w in todo if w is not None))
+        if len(self.known) >= self.remembered:
+            self.known, self.old = {}, self.known
+        known = self.known
+        split = [t.lower().split() if (t.isascii() or _latin(t)) and not any(c in t for c in self.odd) else None for t in texts]
+        new: set[str] = set().union(*(w for w in split if w is not None))
+        new = new.difference(known)  # walks the words of the batch, not the memory
+        again = [w for w in new if w in self.old]
+        known.update((w, self.old[w]) for w in again)
+        new.difference_update(again)
         if new:
             self.learn(new)
-        known = self.known
-        for t, words in todo:
-            yield self.whole(t) if words is None else b"".join([known[w] for w in words])
+        out = [self.whole(t) if words is None else b"".join([known[w] for w in words]) for t, words in zip(texts, split)]
+        for w in [w for w in new if len(w) > LONG_WORD]:
+            del known[w]
+        return out
+
+
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 _encoders: dict[str, WordEncoder] = {}
