@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -214,7 +215,7 @@ def test_op4_hot_shard_in_parts(spark):
     rng = np.random.default_rng(6)
     rows = [(i, (np.ones(8) + rng.normal(0, 0.05, 8)).tolist(), 0) for i in range(300)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_duplicates(df, block=64).collect()}
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_duplicates(df, shard=32, limit=64).collect()}
     want = brute_vectors(rows)
     found, there = sum(min(got[i][0], want[i][0]) for i in want), sum(n for n, _ in want.values())
     assert found / there >= 0.97 and all(got[i][1] == want[i][1] for i in want) and all(got[i][0] <= want[i][0] for i in want)
@@ -232,14 +233,16 @@ def spread_out(n, pairs, seed=4, dim=64, at=0.94):
     return np.concatenate([x, at * x[:pairs] + np.sqrt(1 - at * at) * off])
 
 
-def test_op4_spread_out_links(spark):
-    n, pairs = 4500, 1500
-    df = spark.createDataFrame([(i, v.tolist(), "a") for i, v in enumerate(spread_out(n, pairs))], "vec_id long, embedding array<double>, label string")
-    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_duplicates(df).collect()}
+@pytest.mark.parametrize("n,dim,at,how", [(4500, 64, 0.94, {}), (18000, 32, 0.935, {}), (45000, 64, 0.95, {}), (5000, 32, 0.935, {"shard": 200, "limit": 400, "numbers": 32 * 400})])
+def test_op4_spread_out_links(spark, n, dim, at, how):
+    pairs = n // 3
+    df = spark.createDataFrame(pa.table({"vec_id": pa.array(range(n + pairs), pa.int64()), "embedding": list(spread_out(n, pairs, dim=dim, at=at)), "label": ["a"] * (n + pairs)}))
+    got = {r["vec_id"]: r for r in vectors.near_duplicates(df, **how).collect()}
     ends = [(got[i], got[n + i]) for i in range(pairs)]
-    assert all(a == b for a, b in ends)  # a link counts for both ends
-    assert np.mean([a == (1, i) for i, (a, _) in enumerate(ends)]) >= 0.985
-    assert all(got[i] == (0, i) for i in range(pairs, n))
+    assert all(a["n_links"] == b["n_links"] and (a["n_links"] == 1) == (a["component_id"] == b["component_id"]) for a, b in ends)  # a link counts for both ends
+    recall = np.mean([(a["n_links"], a["component_id"]) == (1, i) for i, (a, _) in enumerate(ends)])
+    assert recall >= 0.98 and abs(got[0]["audit_recall"] - recall) < 0.015
+    assert all((got[i]["n_links"], got[i]["component_id"]) == (0, i) for i in range(pairs, n))
 
 
 # --- 5 ---
