@@ -49,6 +49,8 @@ from radspark.llm.common import components, spool
 LEAST = 0.93
 #: Vectors that a shard should and may have, rows of a block of queries.
 SHARD, LIMIT, QUERIES = 2048, 4096, 4096
+#: Pairs of a query and a row that are weighed at once; it bounds a worker's memory.
+PAIRS = 16_384
 #: Share of made-up linked pairs that must share a shard after each split, and of those the number.
 TOGETHER, MADE_UP = 0.997, 4000
 DEGREE, POOL, ALPHA, FAR, BEAM, STEP, MEDOIDS = 16, 48, 1.2, 3, 24, 4, 16
@@ -287,10 +289,13 @@ def search(q: np.ndarray, x: np.ndarray, adj: np.ndarray, entries: np.ndarray, l
     seen.reshape(nq, n)[:, entries] = True
 
     def meet(a: np.ndarray, u: np.ndarray) -> np.ndarray:
-        s = np.einsum("pd,pd->p", q4[a], x4[u])
-        near = np.flatnonzero(s >= close)
-        ok = near[np.einsum("pd,pd->p", q[a[near]], x[u[near]]) >= least]
-        hit[a[ok], u[ok]] = True
+        s = np.empty(len(a), np.float32)
+        for lo in range(0, len(a), PAIRS):
+            i, j = a[lo : lo + PAIRS], u[lo : lo + PAIRS]
+            s[lo : lo + PAIRS] = np.einsum("pd,pd->p", q4[i], x4[j])
+            near = np.flatnonzero(s[lo : lo + PAIRS] >= close)
+            ok = near[np.einsum("pd,pd->p", q[i[near]], x[j[near]]) >= least]
+            hit[i[ok], j[ok]] = True
         return s
 
     def fresh(a: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -332,8 +337,8 @@ def search(q: np.ndarray, x: np.ndarray, adj: np.ndarray, entries: np.ndarray, l
         if not len(qi):
             break
         spread[qi, xi] = True
-        for lo in range(0, len(qi), 20_000):
-            meet(*fresh(qi[lo : lo + 20_000], xi[lo : lo + 20_000]))
+        for lo in range(0, len(qi), PAIRS // 4):
+            meet(*fresh(qi[lo : lo + PAIRS // 4], xi[lo : lo + PAIRS // 4]))
     return np.nonzero(hit)
 
 
@@ -400,13 +405,16 @@ def _links(reps: DataFrame, least: float, wider: float, shard: int, limit: int,
         _, both_q, both_t = np.intersect1d(ids[q], ids[t], return_indices=True)
         same = hits[np.ix_(both_q, both_t)]
         hits[np.ix_(both_q, both_t)] = same | same.T  # found from either end
-        a, b = np.nonzero(hits)
-        while len(a):  # smallest member that these links reach
-            was_q, was_t = root_q.copy(), root_t.copy()
-            np.minimum.at(root_q, a, root_t[b])
-            np.minimum.at(root_t, b, root_q[a])
-            if (was_q == root_q).all() and (was_t == root_t).all():
-                break
+        linked = np.flatnonzero(hits.any(axis=1))
+        top, moved = np.iinfo(np.int64).max, len(linked) > 0
+        while moved:  # smallest member that these links reach
+            moved = False
+            for lo in range(0, len(linked), 256):
+                own = linked[lo : lo + 256]
+                low = np.minimum(root_q[own], np.where(hits[own], root_t, top).min(axis=1))
+                back = np.minimum(root_t, np.where(hits[own], low[:, None], top).min(axis=0))
+                moved |= bool((low < root_q[own]).any() or (back < root_t).any())
+                root_q[own], root_t = low, back
         lower = _lower(table.column("homes").combine_chunks(), key[2].as_py())
         links, links_t = np.zeros(len(q), np.int64), np.zeros(len(t), np.int64)
         for lo in range(0, len(q), 256):  # a link counts once, for both ends: from the smaller id, in the first shard that both ends lie in
