@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,7 +35,29 @@ def spool(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/spool-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._spooled = path
+    return out
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables spooled inside are deleted at the end, but for those given to the function it yields."""
+    start, kept = len(_written), set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df._spooled)
+        return df
+
+    yield keep
+    for spark, path in [w for w in _written[start:] if w[1] not in kept]:
+        _written.remove((spark, path))
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 @atexit.register
@@ -42,8 +66,6 @@ def release() -> None:
     while _written:
         spark, path = _written.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(spark, path)
         except Exception:  # the session may have ended before the interpreter
             return
