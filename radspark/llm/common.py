@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from radspark.storage import spool
+from radspark.storage import scratch, spool  # noqa: F401
 
 #: Rows of one Arrow batch: texts of a corpus are long, and a worker holds a batch more than once.
 BATCH_ROWS = 2000
@@ -24,6 +24,25 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+#: Ids are broadcast up to this many (8 bytes each); beyond it the join shuffles.
+BROADCAST_IDS = 1_000_000
+#: A key that holds more rows than this is joined by broadcast, apart from the others: there are few such keys.
+HOT_ROWS = 100_000
+
+
+def few(ids: DataFrame) -> DataFrame:
+    """``ids``, broadcast if they are counted and found few."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """``rows`` joined with one row for each group; groups above ``HOT_ROWS`` rows never meet in one task."""
+    hot = groups.where(F.col(size) > HOT_ROWS)
+    if hot.isEmpty():
+        return rows.join(groups, key)
+    return rows.join(F.broadcast(hot), key).unionByName(rows.join(groups.where(F.col(size) <= HOT_ROWS), key))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph, by hooking and contraction.
 
@@ -47,14 +66,10 @@ def components(edges: DataFrame) -> DataFrame:
         up = spool(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select(
             "node", F.least("node", "low").alias("root")))
         while True:  # pointer jumping
-            nxt = spool(
-                up.join(up.select(F.col("node").alias("root"), F.col("root").alias("top")), "root")
-                .select("node", F.col("top").alias("root"), (F.col("top") != F.col("root")).alias("moved"))
-            )
-            done = nxt.where("moved").isEmpty()
-            up = nxt.drop("moved")
-            if done:
+            tops = spool(up.select("root").distinct().join(up.select(F.col("node").alias("root"), F.col("root").alias("top")), "root").where("top <> root"))
+            if tops.isEmpty():
                 break
+            up = spool(up.join(few(tops), "root", "left").select("node", F.coalesce("top", "root").alias("root")))
         if label is None:
             label = up
         else:

@@ -12,8 +12,12 @@ comments, with and without telling tags. Training is seeded and takes seconds.
 
 Defined results: null and empty html give empty text; unclosed and misnested
 tags are taken as browsers mostly do (a new block ends an open paragraph);
-scripts, styles, comments and the head are never blocks; repeated rows are
-labelled alike; extra columns are ignored; an empty table gives no rows.
+scripts, styles, comments and the head are never blocks; a tag that never ends
+is text, and once a quote in a tag is never closed, tags end at the next
+greater sign; character references are decoded within a run of text, not
+across tags; time and memory are linear in a page of any length; repeated rows
+are labelled alike; extra columns, whatever their names, are ignored; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,8 +26,9 @@ import html as entities
 import random
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -42,110 +47,147 @@ UNSEEN = frozenset("script style noscript template iframe svg math canvas object
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
                      "h6 header hr main menu nav ol p pre section table ul li".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<", re.S)
+OTHER = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?", re.S)
+REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
 ATTR = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 SPACE = re.compile(r"\s+")
+# Elements that an open paragraph, or an open item of the same name, does not reach across.
+HOLDS_P = ("table", "td", "th", "button")
+ITEMS = frozenset("li dt dd tr td th option".split())
+HOLDS_ITEMS = ("ul", "ol", "dl", "table", "tbody", "select", "div", "nav")
 
 
 @dataclass
 class Block:
+    """Text of a leaf, how often each slot of the hashed path is named above it, its last two words' slots, and the path's length."""
+
     text: str
-    path: tuple[str, ...]
+    counts: np.ndarray
+    last: tuple[int, ...]
+    depth: int
     linked: float = 0.0
 
 
-@dataclass
-class _Open:
-    parts: list[str] = field(default_factory=list)
-    linked: int = 0
+class _Stack:
+    """Open elements; everything a tag asks of them takes a few steps, however many there are."""
+
+    def __init__(self):
+        self.rows: list[tuple[str, tuple[int, ...]]] = []  # name, slots of its words (of none if inline)
+        self.at: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+        self.counts = np.zeros(PATH_DIM, np.int32)
+        self.words: list[int] = []
+        self.path: tuple[np.ndarray, tuple[int, ...], int] | None = None
+
+    def last(self, *names: str) -> int:
+        return max((self.at[n][-1] for n in names if self.at.get(n)), default=-1)
+
+    def push(self, name: str, words: list[str]) -> None:
+        slots = () if name in INLINE else tuple(_slot(w) % PATH_DIM for w in words)
+        self.at[name].append(len(self.rows))
+        if name not in INLINE:
+            self.blocks.append(len(self.rows))
+            self.path = None
+        self.rows.append((name, slots))
+        for k in slots:
+            self.counts[k] += 1
+        self.words += slots
+
+    def close(self, upto: int) -> None:
+        while len(self.rows) > upto:
+            name, slots = self.rows.pop()
+            self.at[name].pop()
+            if self.blocks and self.blocks[-1] == len(self.rows):
+                self.blocks.pop()
+                self.path = None
+            for k in slots:
+                self.counts[k] -= 1
+            del self.words[len(self.words) - len(slots):]
+
+    def place(self) -> tuple[np.ndarray, tuple[int, ...], int]:
+        if self.path is None:
+            self.path = self.counts.copy(), tuple(self.words[-2:]), len(self.words)
+        return self.path
 
 
 def blocks_of(page: str | None) -> list[Block]:
     """The leaf blocks of a page, in page order, with decoded and spaced text."""
     src = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []  # name, its words
-    now = _Open()
-    block_path: tuple[str, ...] = ()
-    links = 0
+    stack = _Stack()
+    parts: list[str] = []
+    linked = 0
 
     def finish() -> None:
-        nonlocal now
-        if now.parts:
-            text = SPACE.sub(" ", entities.unescape("".join(now.parts))).strip()
+        nonlocal linked
+        if parts:
+            text = SPACE.sub(" ", "".join(parts)).strip()
             if text:
-                out.append(Block(text, block_path, min(1.0, now.linked / max(1, len(text)))))
-            now = _Open()
+                out.append(Block(text, *stack.place(), min(1.0, linked / max(1, len(text)))))
+            parts.clear()
+            linked = 0
 
-    def place() -> None:
-        nonlocal block_path, links
-        block_path = tuple(w for name, words in stack if name not in INLINE for w in words)
-        links = sum(name == "a" for name, _ in stack)
+    def add(text: str) -> None:
+        nonlocal linked
+        parts.append(entities.unescape(text))
+        if stack.at.get("a"):
+            linked += len(text)
 
-    def close(upto: int) -> None:
-        del stack[upto:]
-        place()
-
-    at, end = 0, len(src)
+    at, end, quotes, ends = 0, len(src), True, src.rfind(">")
     while at < end:
-        m = TOKEN.match(src, at)
-        tok = m.group()
-        at = m.end()
-        if tok[0] != "<" or tok == "<":
-            now.parts.append(tok)
-            if links:
-                now.linked += len(tok)
+        if src[at] != "<":
+            nxt = src.find("<", at)
+            nxt = end if nxt < 0 else nxt
+            add(src[at:nxt])
+            at = nxt
+            continue
+        if src[at + 1 : at + 2] in ("!", "?"):
+            at = OTHER.match(src, at).end()
             continue
-        named = NAME.match(tok)
-        if not named:
+        named = NAME.match(src, at)
+        if not named or named.end() > ends:
+            add("<")
+            at += 1
             continue
-        name = named.group(1).lower()
+        m = REST.match(src, named.end()) if quotes else None
+        quotes = m is not None
+        stop = m.end() if m else src.index(">", named.end()) + 1
+        tok, at, name = src[at:stop], stop, named.group(1).lower()
         block = name not in INLINE
         if tok[1] == "/":
             if block:
                 finish()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    close(k)
-                    break
-                if not block and stack[k][0] not in INLINE:
-                    break
+            k = stack.last(name)
+            if k >= 0 and (block or not stack.blocks or k > stack.blocks[-1]):
+                stack.close(k)
             continue
         if name in UNSEEN:
             finish()
-            # on to its end tag; a head without one ends where the body starts
-            stop = re.compile(rf"</{name}\s*>" + (r"|(?=<body[\s>])" if name == "head" else ""), re.I).search(src, at)
-            if not tok.endswith("/>"):
-                at = stop.end() if stop else end
+            if not tok.endswith("/>"):  # on to its end tag; a head without one ends where the body starts
+                close = re.compile(rf"</{name}\s*>" + (r"|(?=<body[\s>])" if name == "head" else ""), re.I).search(src, at)
+                at = close.end() if close else end
             continue
         if name == "br":
-            now.parts.append(" ")
+            parts.append(" ")
             continue
         if block:
             finish()
             if name in CLOSES_P:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == "p":
-                        close(k)
-                        break
-                    if stack[k][0] in ("table", "td", "th", "button"):
-                        break
-            if name in ("li", "dt", "dd", "tr", "td", "th", "option"):
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        close(k)
-                        break
-                    if stack[k][0] in ("ul", "ol", "dl", "table", "tbody", "select", "div", "nav"):
-                        break
+                k = stack.last("p")
+                if k > stack.last(*HOLDS_P):
+                    stack.close(k)
+            if name in ITEMS:
+                k = stack.last(name)
+                if k > stack.last(*HOLDS_ITEMS):
+                    stack.close(k)
         if name in VOID or tok.endswith("/>"):
             continue
         words = [name]
-        if len(tok) > len(name) + 2:
+        if block and len(tok) > len(name) + 2:
             for a in ATTR.finditer(tok):
                 words += [f".{w}" for w in re.findall(r"[a-z]+", (a.group(1) or a.group(2) or a.group(3) or "").lower())]
-        stack.append((name, tuple(words)))
-        place()
+        stack.push(name, words)
     finish()
     return out
 
@@ -166,15 +208,16 @@ def vectors(blocks: list[Block]) -> np.ndarray:
     """One row per block: hashed tag path, hashed words, shares."""
     x = np.zeros((len(blocks), WIDTH), dtype=np.float32)
     for i, b in enumerate(blocks):
-        for depth, w in enumerate(reversed(b.path)):
-            x[i, _slot(w) % PATH_DIM] += 1.0 if depth < 2 else 0.6
+        x[i, :PATH_DIM] = 0.6 * b.counts
+        for k in b.last:
+            x[i, k] += 0.4
         words = b.text.split()
         slots = [_slot(w) % WORD_DIM for w in b.text.lower().split()]
         x[i, PATH_DIM : PATH_DIM + WORD_DIM] = np.bincount(slots, minlength=WORD_DIM) / max(1, len(slots))
         n = len(b.text)
         x[i, PATH_DIM + WORD_DIM :] = (
             min(2.0, np.log1p(len(words)) / 3), b.linked, sum(map(b.text.count, ".,;")) / max(1, len(words)), i / len(blocks),
-            b.text[-1] in ".!?…:", n / max(1, len(words)) / 10, min(2.0, np.log1p(len(b.path)) / 2), 1.0)
+            b.text[-1] in ".!?…:", n / max(1, len(words)) / 10, min(2.0, np.log1p(b.depth) / 2), 1.0)
     return x
 
 

@@ -3,9 +3,11 @@
 Templates become words (a-z and 0-9 runs, lower case); the least hash of every
 ``WINDOW`` neighbouring ``GRAM``-word runs goes into an inverted index. Any
 ``WINDOW + GRAM - 1`` words in a row that a text shares with a template hit it.
-Hits of a template that lie near one another make a candidate region, which is
-aligned with the template inside a band around the hits' diagonals (local
-alignment: match +2, other -1). A region's row tells how many template words
+Hits of a template that lie near one another and advance in both make a
+candidate region (one that falls back in the template begins another, so
+repeats of a notice are regions of their own), which is aligned with the
+template inside a band around the hits' diagonals, at most half the template
+wide (local alignment: match +2, other -1). A region's row tells how many template words
 it matched, their share (coverage) and the span in the text.
 
 The index holds the templates only (their size is checked), so it travels
@@ -14,14 +16,16 @@ inside the task; documents are never moved.
 Defined results: null, empty and unlicensed texts give no rows; every region
 whose coverage reaches ``least`` gives one, so a text may have several, also of
 one template; of overlapping regions the one that matches most words stays
-(then the larger coverage, then the template's name);
-repeated rows are scanned alike; extra columns are ignored; an empty table
-gives none.
+(then the larger coverage, then the template's name); texts of any length are
+scanned whole, in time linear in their words and regions; repeated rows are
+scanned alike, a null doc_id is kept as null; extra columns, whatever their
+names, are ignored; an empty table gives none.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -177,31 +181,41 @@ def scan_text(text: str, index: Index, gram: int = GRAM, band: int = BAND, least
         for t, q in index.posts[k]:
             by[t].append((p - q, p))
     places = [m.span() for m in WORD.finditer(low)]
-    out = []
+    out = set()
     for t, hits in by.items():
         words = index.words[t]
-        hits.sort(key=lambda x: (x[1], x[0]))
-        group: list[tuple[int, int]] = []
-
-        def settle() -> None:
-            ds = [d for d, _ in group]
-            first = max(0, min(ds) - band)
-            last = min(len(ids), max(d for d, _ in group) + len(words) + band)
-            m, a, z, _ = align(ids[first:last], words, min(ds) - band - first, max(ds) + band - first)
+        wide = min(band, max(1, len(words) // 2))  # less than from one repeat to the next
+        for low_d, high_d in chains(sorted(hits, key=lambda x: (x[1], x[0])), len(words), wide):
+            first, last = max(0, low_d - wide), min(len(ids), high_d + len(words) + wide)
+            m, a, z, _ = align(ids[first:last], words, low_d - wide - first, high_d + wide - first)
             if m and m / len(words) >= least:
-                out.append((index.names[t], m, len(words), m / len(words), places[first + a][0], places[first + z][1]))
-
-        for d, p in hits:
-            if group and (abs(d - group[-1][0]) > band or p - group[-1][1] > len(words) + band):
-                settle()
-                group = []
-            group.append((d, p))
-        settle()
+                out.add((index.names[t], m, len(words), m / len(words), places[first + a][0], places[first + z][1]))
+    starts: list[int] = []
     best: list[tuple] = []
-    for r in sorted(set(out), key=lambda r: (-r[1], -r[3], r[0], r[4])):
-        if all(r[5] <= o[4] or r[4] >= o[5] for o in best):
-            best.append(r)
-    return sorted(best, key=lambda r: (r[4], r[5], r[0]))
+    for r in sorted(out, key=lambda r: (-r[1], -r[3], r[0], r[4])):
+        k = bisect_right(starts, r[4])
+        if (k == 0 or best[k - 1][5] <= r[4]) and (k == len(best) or r[5] <= best[k][4]):
+            starts.insert(k, r[4])
+            best.insert(k, r)
+    return best
+
+
+def chains(hits: list[tuple[int, int]], words: int, wide: int) -> list[tuple[int, int]]:
+    """Least and greatest diagonal of each run of hits (diagonal, text position; in text order) that advance in text and template."""
+    done: list[tuple[int, int]] = []
+    live: list[list[int]] = []  # least, greatest and last diagonal, last position
+    for d, p in hits:
+        stale = [c for c in live if p - c[3] > words + wide]
+        if stale:
+            done += [(c[0], c[1]) for c in stale]
+            live = [c for c in live if p - c[3] <= words + wide]
+        fit = [c for c in live if p - d > c[3] - c[2] and max(c[1], d) - min(c[0], d) <= wide]
+        if fit:
+            c = min(fit, key=lambda c: (abs(c[2] - d), -c[3]))
+            c[0], c[1], c[2], c[3] = min(c[0], d), max(c[1], d), d, p
+        else:
+            live.append([d, d, d, p])
+    return done + [(c[0], c[1]) for c in live]
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST) -> DataFrame:

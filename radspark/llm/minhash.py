@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from radspark.llm.common import components, mix, shingle_set, spool
+from radspark.llm.common import components, few, join_groups, mix, scratch, shingle_set, spool
 
 WORDS, COORDS, MATCHES = 5, 32, 13
 PERCENT = 75
@@ -46,8 +46,6 @@ BLOCK = 1024
 ROUNDS, LEADERS = 3, 3
 #: Smallest hashes of a set that stand for it where pairs across components are weighed.
 LOW = 512
-#: Ids are broadcast up to this many (8 bytes each); beyond it the join shuffles.
-BROADCAST_IDS = 1_000_000
 
 
 def _multipliers(coords: int) -> np.ndarray:
@@ -85,17 +83,18 @@ def signatures(docs: DataFrame, words: int = WORDS, coords: int = COORDS) -> Dat
 
 
 def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, grams: the whole set of each document."""
+    """doc_id, digest, grams: the whole set of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 sets = [shingle_set(t, words).view(np.int64) for t in b.column(1).slice(lo, 256).to_pylist()]
+                digests = [hashlib.blake2b(v.tobytes(), digest_size=16).digest() for v in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, 256), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "grams"])
+                    [b.column(0).slice(lo, 256), pa.array(digests, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "digest", "grams"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, grams array<long>")
+        run, "doc_id long, digest binary, grams array<long>")
 
 
 def _equal_coords(x: str, y: str):
@@ -177,11 +176,19 @@ def _across(posts: DataFrame, matches: int, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, words: int = WORDS, coords: int = COORDS, matches: int = MATCHES,
                     percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
-    sig = spool(signatures(docs, words, coords))
+    with scratch() as keep:
+        sig = keep(spool(signatures(docs, words, coords)))
+        comp = keep(spool(_groups(docs, sig, words, matches, percent)))
+    out = sig.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    c = F.coalesce("component", "doc_id")
+    return out.select("doc_id", "n_shingles", c.alias("component_id"), (F.col("doc_id") == c).alias("kept"))
+
+
+def _groups(docs: DataFrame, sig: DataFrame, words: int, matches: int, percent: int) -> DataFrame:
+    """node, component of all documents that are linked."""
     some = sig.where("digest is not null and doc_id is not null")
     classes = spool(some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")))
-    copies = (some.join(classes.where("n > 1").select("digest", "rep"), "digest")
-              .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    copies = join_groups(some.select("digest", "doc_id"), classes.where("n > 1"), "digest", "n").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     own = (some.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi"))
     # a doc_id with several texts stands once for each of them
     reps = spool(own.groupBy("doc_id", "digest").agg(F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")))
@@ -199,15 +206,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, coords: int = COORDS, m
         .select("doc_id", mask.alias("mask"), F.explode(kept).alias("t"))
         .select("doc_id", "mask", F.col("t.token").alias("token"), F.col("t.coord").alias("coord")))
 
-    links = copies
-    touched = spool(prefix.select("doc_id").distinct())
-    wanted = touched.withColumnRenamed("doc_id", "wanted")
-    if touched.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
+    touched = spool(prefix.select(F.col("doc_id").alias("wanted")).distinct())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = spool(shingle_sets(texts.join(wanted, F.col("doc_id") == F.col("wanted"), "left_semi"), words).distinct())
+    sets = spool(shingle_sets(texts.join(few(touched), F.col("doc_id") == F.col("wanted"), "left_semi"), words).distinct())
     found: DataFrame | None = None
-    for turn in range(ROUNDS + 1):
+    turn = 0
+    while turn <= ROUNDS:
         if found is None:
             now = prefix.withColumn("comp", F.col("doc_id"))
         else:
@@ -216,11 +220,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, coords: int = COORDS, m
                         .select("token", "coord", "doc_id", "mask", F.coalesce("component", "doc_id").alias("comp")))
         mixed = spool(now.groupBy("token").agg(F.min("comp").alias("least"), F.max("comp").alias("most"),
                                                F.count(F.lit(1)).alias("size")).where("least < most"))
+        if mixed.isEmpty():  # no list holds two components any more
+            break
         open_posts = now.join(mixed.select("token", "size"), "token")
         if turn == ROUNDS:
             smallest = F.transform(F.slice("grams", F.lit(1), F.lit(LOW)), lambda g: F.shiftrightunsigned(g, 32).cast("long"))
-            low = sets.groupBy("doc_id").agg(F.first(smallest).alias("low"))
-            facts = reps.select("doc_id", "n_shingles", "sig").join(low, "doc_id")
+            low = sets.groupBy("doc_id", "digest").agg(F.first(smallest).alias("low"))
+            facts = reps.join(low, ["doc_id", "digest"]).select("doc_id", "n_shingles", "sig", "low")
             pairs = spool(_across(open_posts.join(facts, "doc_id"), matches, percent))
         else:
             lead = [F.min_by("doc_id", F.xxhash64("doc_id", F.lit(turn * LEADERS + k))) for k in range(LEADERS)]
@@ -231,11 +237,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, coords: int = COORDS, m
             pairs = (met_lead.where("doc_id <> h.lead and comp <> h.lead_comp")
                      .select(F.greatest("doc_id", "h.lead").alias("a"), F.least("doc_id", "h.lead").alias("b")).distinct())
         got = spool(confirm(pairs, reps, sets, matches, percent))
+        if turn < ROUNDS and got.isEmpty():  # leaders find nothing more: straight to the step that is exhaustive
+            turn = ROUNDS
+            continue
         found = got if found is None else spool(found.unionByName(got))
-    comp = spool(components(links.unionByName(found)))
-    out = sig.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    c = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", c.alias("component_id"), (F.col("doc_id") == c).alias("kept"))
+        turn += 1
+    return components(copies if found is None else copies.unionByName(found))
 
 
 def keep_one(docs: DataFrame, **how) -> DataFrame:
@@ -247,17 +254,17 @@ def keep_one(docs: DataFrame, **how) -> DataFrame:
     """
     found = near_duplicates(docs, **how)
     rows = spool(found.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("doc_id is not null and (not kept or n > 1)"))
-
-    def ids(which: DataFrame) -> DataFrame:
-        out = which.select(F.col("doc_id").alias("_id"))
-        return F.broadcast(out) if which.count() <= BROADCAST_IDS else out
-
-    same = F.col("doc_id").cast("long") == F.col("_id")
-    left = docs.join(ids(rows.where("not kept")), same, "left_anti")
-    twice = rows.where("kept and n > 1")
-    if twice.isEmpty():
-        return left
-    once = left.join(ids(twice), same, "left_anti")
-    again = left.join(ids(twice), same, "left_semi").groupBy(F.col("doc_id").alias("_id")).agg(
-        F.min_by(F.struct(*[f"`{c}`" for c in docs.columns]), F.struct(F.col("text"), F.xxhash64(F.struct(*[f"`{c}`" for c in docs.columns])))).alias("r"))
-    return once.unionByName(again.select("r.*"))
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # under one name, so that no column of the documents can clash
+    held = docs.select(F.col("doc_id").cast("long").alias("id"), own.alias("row"))
+    back = [F.col("row").getField(c).alias(c) for c in docs.columns]
+
+    def ids(which: str) -> DataFrame:
+        return few(rows.where(which).select(F.col("doc_id").alias("id")))
+
+    left = held.join(ids("not kept"), "id", "left_anti")
+    if rows.where("kept and n > 1").isEmpty():
+        return left.select(*back)
+    once = left.join(ids("kept and n > 1"), "id", "left_anti")
+    again = left.join(ids("kept and n > 1"), "id", "left_semi").groupBy("id").agg(
+        F.min_by("row", F.struct(F.col("row.text"), F.xxhash64("row"))).alias("row"))
+    return once.unionByName(again.select("id", "row")).select(*back)

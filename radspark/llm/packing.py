@@ -116,22 +116,23 @@ def _latin(text: str) -> bool:
     return True
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[tuple[str, int], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> WordEncoder:
     """One per Python worker, kept between tasks."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    key = path, remembered
+    if key not in _encoders:
+        _encoders[key] = WordEncoder(path, remembered)
+    return _encoders[key]
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY,
-               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+               id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece of each document: ``PIECE``. ``row`` numbers a task's documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, row, end = encoder(tokenizer), 0, end_id.to_bytes(4, "little")
+        enc, row, end = encoder(tokenizer, remembered), 0, end_id.to_bytes(4, "little")
         for b in batches:
             ids = b.column(0).to_pylist()
             for lo in range(0, len(ids), 256):
@@ -208,6 +209,6 @@ def pack_pieces(pieces: DataFrame, n_docs: int, capacity: int = CAPACITY, group_
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY,
-                   group_docs: int = GROUP_DOCS) -> DataFrame:
-    """Tokenise, cut and pack: ``PACKED``, one row per piece."""
-    return pack_pieces(cut_pieces(docs, tokenizer, end_id, capacity), docs.count(), capacity, group_docs)
+                   group_docs: int = GROUP_DOCS, remembered: int = REMEMBERED) -> DataFrame:
+    """Tokenise, cut and pack: ``PACKED``, one row per piece; a worker remembers up to twice ``remembered`` words."""
+    return pack_pieces(cut_pieces(docs, tokenizer, end_id, capacity, remembered=remembered), docs.count(), capacity, group_docs)

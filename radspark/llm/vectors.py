@@ -44,7 +44,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from radspark.llm.common import components, spool
+from radspark.llm.common import components, join_groups, scratch, spool
 
 LEAST = 0.93
 #: Vectors that a shard should and may have, rows of a block of queries.
@@ -438,22 +438,26 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, shard: int = SHARD
 
     ``wider`` is a factor on the measured overlap of shards.
     """
-    units = spool(unit_rows(vectors))
-    some = units.where("digest is not null")
-    classes = spool(some.groupBy("digest").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("weight")))
-    reps = spool(some.join(classes.select("digest", F.col("rep").alias("vec_id"), "weight"), ["digest", "vec_id"])
-                 .groupBy("vec_id", "digest").agg(F.first("label").alias("label"), F.first("v").alias("v"), F.first("weight").alias("weight")))
-    for turn in range(REPAIRS + 1):
-        found = _links(reps, least, wider * 1.5**turn, shard, limit, numbers)
-        counts = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
-        facts = spool(classes.join(counts.withColumnRenamed("vec_id", "rep"), "rep", "left")
-                      .select("digest", "rep", "weight", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")))
-        recall = audit(reps, facts, least)
-        if recall >= ENOUGH:
-            break
-    copies = some.join(classes.where("weight > 1").select("digest", "rep"), "digest").select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))
-    comp = spool(components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")).unionByName(copies)))
-    out = units.select("vec_id", "digest").join(facts.select("digest", "n_links"), "digest", "left").join(comp.withColumnRenamed("node", "vec_id"), "vec_id", "left")
+    with scratch() as keep:
+        units = keep(spool(unit_rows(vectors)))
+        some = units.where("digest is not null")
+        classes = spool(some.groupBy("digest").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("weight")))
+        # an id may hold several vectors; of a class's copies only the rows of the least id are taken along
+        reps = spool(some.join(classes.select("digest", F.col("rep").alias("vec_id"), "weight"), ["digest", "vec_id"])
+                     .groupBy("vec_id", "digest").agg(F.first("label").alias("label"), F.first("v").alias("v"), F.first("weight").alias("weight")))
+        for turn in range(REPAIRS + 1):
+            found = _links(reps, least, wider * 1.5**turn, shard, limit, numbers)
+            counts = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
+            facts = keep(spool(classes.join(counts.withColumnRenamed("vec_id", "rep"), "rep", "left")
+                               .select("digest", "rep", "weight", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))))
+            recall = audit(reps, facts, least)
+            if recall >= ENOUGH:
+                break
+        copies = join_groups(some.select("digest", "vec_id"), classes.where("weight > 1"), "digest", "weight").select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))
+        comp = keep(spool(components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")).unionByName(copies))))
+    out = join_groups(units.select("vec_id", "digest"), facts.select("digest", "n_links", "weight"), "digest", "weight").select("vec_id", "n_links")
+    out = out.unionByName(units.where("digest is null").select("vec_id", F.lit(0).cast("long").alias("n_links")))
+    out = out.join(comp.withColumnRenamed("node", "vec_id"), "vec_id", "left")
     c = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), c.alias("component_id"), (F.col("vec_id") == c).alias("kept"),
                       F.lit(recall).alias("audit_recall"))

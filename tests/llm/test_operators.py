@@ -154,6 +154,43 @@ def test_op3_on_documents(spark, sf):
         assert bool(whole) <= (i in found), i
 
 
+@pytest.mark.parametrize("gap", [0, 2, 20])
+def test_op3_every_repeat(gap):
+    index = licenses.build_index(licenses.TEMPLATES)
+    for name, t in licenses.TEMPLATES.items():
+        for n in (1, 2, 9):
+            got = licenses.scan_text(" ".join([t, *["zebra"] * gap] * n), index)
+            assert [(r[0], r[3]) for r in got] == [(name, 1.0)] * n, (name, n)
+    assert len(licenses.scan_text("Licensed under the MIT License. " * 3000, index)) == 3000
+
+
+def test_op3_regions_equal_brute_force(spark):
+    """Texts of notices in any order: one region for each, from its first word to its last."""
+    rng = random.Random(8)
+    texts, want = [], []
+    for _ in range(60):
+        text, spans = "", []
+        for _ in range(rng.randint(1, 12)):
+            text += " ".join("".join(rng.choice("xyzq") for _ in range(4)) for _ in range(rng.choice([0, 1, 3, 15, 40]))) + " "
+            name = rng.choice(list(licenses.TEMPLATES))
+            words = [m.span() for m in licenses.WORD.finditer(licenses.TEMPLATES[name].lower())]
+            spans.append((name, len(text) + words[0][0], len(text) + words[-1][1]))
+            text += licenses.TEMPLATES[name] + " "
+        texts.append(text)
+        want.append(spans)
+    df = docs_of(spark, texts, extra=True).selectExpr("*", "'clash' as template", "'clash' as start")
+    got = {}
+    for r in licenses.scan(df.unionByName(df)).collect():
+        got.setdefault(r["doc_id"], []).append((r["template"], r["start"], r["end"]))
+    assert [sorted(got[i], key=lambda r: r[1]) for i in range(len(texts))] == [sorted(w * 2, key=lambda r: r[1]) for w in want]
+
+
+def test_op3_odd(spark):
+    df = spark.createDataFrame([(None, licenses.TEMPLATES["mit-line"]), (1, None), (2, ""), (3, "x " * 200000 + licenses.TEMPLATES["unlicense"])], "doc_id long, text string")
+    assert sorted((r["doc_id"] or 0, r["template"]) for r in licenses.scan(df).collect()) == [(0, "mit-line"), (3, "unlicense")]
+    assert licenses.scan(df.limit(0)).count() == 0
+
+
 def test_winnowing_guarantee():
     rng = np.random.default_rng(1)
     for _ in range(200):
@@ -469,6 +506,20 @@ def test_op7_odd(spark, labeller):
     assert html_blocks.extract(df).count() == 4 and html_blocks.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("piece", ["<div>", "<div>x", "<a ", "<a \"", "<svg/>", "<p>", "<p>x", "</b><i>", "<i><div><b></i>", "<!--", "<", "<li>a", "&am<b>p;", "<div class='a b'>y</span>", "<a href='\">"])
+def test_op7_parser_is_linear(piece):
+    import time
+
+    page = piece * (1_000_000 // len(piece))
+    t = time.process_time()
+    html_blocks.blocks_of(page)
+    assert time.process_time() - t < 12  # a quadratic one takes hours
+
+
+def test_op7_references_within_tags():
+    assert [b.text for b in html_blocks.blocks_of("<p>a &amp; b&am<b>p;</b> &lt;i&gt;<br>c</p>")] == ["a & b&amp; <i> c"]
+
+
 def test_lstm_gradients():
     rng = np.random.default_rng(0)
     m = html_blocks.Labeller(width=5, hidden=3, seed=1)
