@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from radspark.llm import gam, minhash, mixing, packing, pii, queries
 from radspark.llm.common import small_batches, spool
 
+#: Words in each generation of the packing workers' memory: fewer than alone, since earlier stages share the executors.
+WORDS = 100_000
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier (2) rejects go."""
@@ -41,7 +44,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing (9): one row per piece of each document that came this far."""
     small_batches(spark)
-    return packing.pack_documents(docs, queries._tokenizer())
+    return packing.pack_documents(docs, queries._tokenizer(), remembered=WORDS)
 
 
 STAGES = [
