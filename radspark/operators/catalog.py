@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from radspark.functions import metadata as md
+from radspark.storage import spool
 
 # File name extensions of medical images, and the preamble's mark.
 EXTENSIONS = (".dcm", ".dicom", ".ima", "")
@@ -52,9 +52,17 @@ def dedup_first(records: DataFrame, key: str, order: Sequence[str]) -> DataFrame
 
 
 def dedup_flags(records: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Every row with ``duplicate``: whether an earlier row has its key."""
-    n = F.row_number().over(W.partitionBy(key).orderBy(*order))
-    return records.withColumn("duplicate", n > 1)
+    """Every row with ``duplicate``: whether an earlier row has its key.
+
+    The first row of each key is a partial minimum; no task gathers a key's
+    rows. Rows that are equal in ``order`` too are told apart by their place.
+    """
+    place = F.monotonically_increasing_id()
+    rows = records.select(F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias("row"), F.col(key).alias("key"), F.struct(*[F.col(c) for c in order], place).alias("rank"))
+    rows = spool(rows)  # so that both sides see the same places
+    first = rows.groupBy(F.col("key").alias("own")).agg(F.min("rank").alias("first"))
+    out = rows.join(first, F.col("key").eqNullSafe(F.col("own")))
+    return out.select(*[F.col("row").getField(c).alias(c) for c in records.columns], (F.col("rank") != F.col("first")).alias("duplicate"))
 
 
 def tally(records: DataFrame, field: str, blank: str = "Unknown") -> DataFrame:
@@ -75,8 +83,8 @@ def scan(spark: SparkSession, root: str, modalities: Sequence[str] | None = None
     """Header records of a directory: discovery, size filter, parsing, modality filter, deduplication by SOP UID."""
     from radspark.sources import dicom
 
-    files = large_enough(discover(spark, root, extensions, exclude, content=True), least)
-    return finish(dicom.header_records(files), modalities, dedup)
+    files = large_enough(discover(spark, root, extensions, exclude), least)
+    return finish(dicom.header_records(dicom.with_heads(files)), modalities, dedup)
 
 
 def finish(records: DataFrame, modalities: Sequence[str] | None = None, dedup: bool = True) -> DataFrame:
@@ -87,8 +95,20 @@ def finish(records: DataFrame, modalities: Sequence[str] | None = None, dedup: b
 
 
 def scan_paths(spark: SparkSession, paths: Sequence[str], dedup: bool = True) -> DataFrame:
-    """Header records of listed files; neither names nor sizes are filtered."""
+    """Header records of listed files; neither names nor sizes are filtered, missing files are passed over (see ``listed``)."""
     from radspark.sources import dicom
 
-    files = spark.read.format("binaryFile").load(list(paths)).select("path", "length", "content")
-    return finish(dicom.header_records(files), None, dedup)
+    files = listed(spark, paths).where("status is null").select("path", "length")
+    return finish(dicom.header_records(dicom.with_heads(files)), None, dedup)
+
+
+def listed(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """path, length, status of files that a caller lists: ``missing`` where there is none, else null."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    rows = []
+    for p in paths:
+        at = jvm.org.apache.hadoop.fs.Path(p)
+        fs = at.getFileSystem(conf)
+        there = fs.exists(at)
+        rows.append((fs.makeQualified(at).toString(), int(fs.getFileStatus(at).getLen()) if there else None, None if there else "missing"))
+    return spark.createDataFrame(rows, "path string, length long, status string")

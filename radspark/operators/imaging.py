@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,12 +29,17 @@ def decode(s: dict) -> np.ndarray:
     return a.reshape(s["height"], s["width"]) if s["channels"] == 1 else a.reshape(s["channels"], s["height"], s["width"])
 
 
-def from_array(a: Column, height: int, width: int) -> Column:
-    """An image struct of an ``array<float>`` column needs packing; see ``pack``."""
-    return F.struct(F.lit(height).alias("height"), F.lit(width).alias("width"), a.cast("array<float>").alias("values"))
+class _Row:
+    """A row's columns by name, converted only when they are asked for."""
 
+    def __init__(self, names: list[str], batch: pa.RecordBatch, at: int):
+        self.names, self.batch, self.at = names, batch, at
 
-def _map(df: DataFrame, image: str, extra: Sequence[T.StructField], fn: Callable[[np.ndarray | None, dict], tuple]) -> DataFrame:
+    def get(self, name: str | None):
+        return self.batch.column(self.names.index(name))[self.at].as_py() if name in self.names else None
+
+
+def _map(df: DataFrame, image: str, extra: Sequence[T.StructField], fn: Callable[[dict | None, _Row], tuple]) -> DataFrame:
     """Replace ``image`` by fn's first result and add its others; a failing row gets a null image and ``error``."""
     drop = {image, "error", *(f.name for f in extra)}
     kept = [f for f in df.schema.fields if f.name not in drop]
@@ -48,7 +53,7 @@ def _map(df: DataFrame, image: str, extra: Sequence[T.StructField], fn: Callable
         for b in batches:
             lo, size, out = 0, 0, []
             for r in range(b.num_rows):
-                row = {n: b.column(i)[r].as_py() for i, n in enumerate(names)}
+                row = _Row(names, b, r)
                 err, got = b.column(len(names) + 1)[r].as_py(), None
                 if err is None:
                     try:
@@ -122,8 +127,9 @@ def mammograms(df: DataFrame, laterality: str | None = None, view: str | None =
     return _map(df, image, [T.StructField("analysis", ANALYSIS)], one)
 
 
-def decode_dicom(files: DataFrame, config: kernels.PixelConfig = kernels.PixelConfig(), steps: Sequence[Kernel] = (), corrections: dict[str, kernels.Correction] | None = None) -> DataFrame:
-    """Images of DICOM files (path, length, content): parsing, vendor corrections, intensities and transforms in one hop."""
+def decode_dicom(files: DataFrame, config: kernels.PixelConfig = kernels.PixelConfig(), steps: Sequence[Kernel] = (), corrections: dict[str, kernels.Correction] | None = None,
+                 carry: Sequence[str] = ("path",)) -> DataFrame:
+    """Images of DICOM files (content) beside the columns ``carry``: parsing, vendor corrections, intensities and transforms in one hop."""
     from radspark.functions.metadata import VENDORS
     from radspark.sources import dicom
 
@@ -132,17 +138,17 @@ def decode_dicom(files: DataFrame, config: kernels.PixelConfig = kernels.PixelCo
         return next((v for fragment, v in VENDORS if fragment in name), None)
 
     chain = kernels.compose(list(steps))
-    schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("image", T._parse_datatype_string(IMAGE)), T.StructField("error", T.StringType())])
+    schema = T.StructType([*[files.schema[c] for c in carry], T.StructField("image", T._parse_datatype_string(IMAGE)), T.StructField("error", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(b.num_rows):
                 img, err = None, None
                 try:
-                    ds = dicom.parse(b.column(1)[r].as_py() or b"", pixels=True)
+                    ds = dicom.parse(b.column(len(carry))[r].as_py() or b"", pixels=True)
                     img = encode(chain(kernels.process_pixels(ds, config, corrections, vendor(ds))))
                 except Exception as x:  # one bad file must not end the job
                     err = f"{type(x).__name__}: {x}"
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(r, 1), pa.array([img], IMAGE_TYPE), pa.array([err], pa.string())], names=["path", "image", "error"])
+                yield pa.RecordBatch.from_arrays([*[c.slice(r, 1) for c in b.columns[:-1]], pa.array([img], IMAGE_TYPE), pa.array([err], pa.string())], names=[*carry, "image", "error"])
 
-    return files.select("path", "content").mapInArrow(run, schema)
+    return files.select(*carry, "content").mapInArrow(run, schema)

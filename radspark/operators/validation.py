@@ -100,7 +100,7 @@ def pixel_rules() -> list[Rule]:
     n = lambda name: tag(name).try_cast("int")
     bits = F.coalesce(n("BitsStored"), F.lit(16))
     signed = n("PixelRepresentation") == 1
-    low = F.when(signed, -F.shiftleft(F.lit(1), 1) * 0 - F.pow(F.lit(2.0), bits - 1)).otherwise(0.0)
+    low = F.when(signed, -F.pow(F.lit(2.0), bits - 1)).otherwise(0.0)
     top = F.when(signed, F.pow(F.lit(2.0), bits - 1) - 1).otherwise(F.pow(F.lit(2.0), bits) - 1)
     has, bad = F.col("px.has_pixels"), F.col("px.error").isNotNull()
     fine = has & ~bad

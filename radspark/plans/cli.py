@@ -30,7 +30,11 @@ def run(a) -> int:
         print(json.dumps({"files": files.select("path").count(), "stages": p.order()}))
         return 0
     r = p.run(files, a.output, resume=a.resume)
-    print(json.dumps({"processed": r.total_processed, "failed": r.total_failed, "skipped": r.total_skipped, "images_per_second": round(r.images_per_second, 3)}))
+    print(json.dumps({"processed": r.total_processed, "failed": r.total_failed, "skipped": r.total_skipped, "images_per_second": round(r.images_per_second, 3),
+                      "outputs": {k: {n: v for n, v in o.items() if n != "json"} for k, o in r.outputs.items()}}))
+    if a.quality_report and "quality_check" not in r.outputs:
+        rows = spark.read.parquet(a.output).where("status = 'completed'")
+        config.SINKS["quality_check"](rows, {"report_output": a.quality_report})
     return 1 if r.total_failed else 0
 
 
@@ -54,9 +58,9 @@ def bench(a) -> int:
         t = time.perf_counter()
         n = config.scan(spark, a.input, {"min_file_size": a.min_file_size}).select("path").count()
         times.append(time.perf_counter() - t)
-    rows = [(int(spark.sparkContext.defaultParallelism), n / min(times)), (1, n / max(times))]
+    rows = [(int(spark.sparkContext.defaultParallelism), n / t) for t in times]
     out = metrics.peak(spark.createDataFrame(rows, "workers int, throughput double")).first().asDict()
-    print(json.dumps({"stage": "scan", "files": n, "avg_time_sec": sum(times) / len(times), "peak": out}))
+    print(json.dumps({"stage": "scan", "files": n, "workers": rows[0][0], "avg_time_sec": sum(times) / len(times), "peak": out}))
     return 0
 
 
@@ -71,6 +75,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--max-samples", type=int)
     r.add_argument("--dry-run", action="store_true")
     r.add_argument("--resume", action="store_true")
+    r.add_argument("--quality-report", help="HTML file for a report of the completed images")
     r.set_defaults(fn=run)
     v = sub.add_parser("validate")
     v.add_argument("--input", required=True)

@@ -36,6 +36,7 @@ class Result:
     total_duration_sec: float = 0.0
     errors: list[tuple[str, str, str]] = field(default_factory=list)
     checkpoint_path: str | None = None
+    outputs: dict[str, dict] = field(default_factory=dict)
 
     @property
     def images_per_second(self) -> float:
@@ -48,11 +49,18 @@ class Pipeline:
     def __init__(self, name: str = "pipeline", checkpoint: str | None = None, key: str = "key", errors_kept: int = 1000):
         self.name, self.checkpoint, self.key, self.errors_kept = name, checkpoint, key, errors_kept
         self.stages: dict[str, Stage] = {}
+        self.sinks: dict[str, Callable[[DataFrame], dict]] = {}
 
     def add(self, name: str, fn: StageFn, depends_on: tuple[str, ...] = (), enabled: bool = True, retries: int = 0) -> Pipeline:
         self.stages[name] = Stage(name, fn, tuple(depends_on), enabled, retries)
         return self
 
+    def at_end(self, name: str, fn: Callable[[DataFrame], dict], enabled: bool = True) -> Pipeline:
+        """``fn`` gets all rows that this run completed; what it returns is in the result's ``outputs``."""
+        if enabled:
+            self.sinks[name] = fn
+        return self
+
     def order(self) -> list[str]:
         """Dependencies first, otherwise as added; unknown names are ignored, a cycle is an error."""
         out: list[str] = []
@@ -125,6 +133,8 @@ class Pipeline:
         result.total_processed, result.total_failed = n["ok"], n["bad"]
         bad = rows.where("status = 'failed'").select(self.key, "stage", "error").orderBy(self.key).limit(self.errors_kept).collect()
         result.errors = [(str(r[0]), r[1], r[2]) for r in bad]
+        if n["ok"]:
+            result.outputs = {name: fn(rows.where("status = 'completed'")) for name, fn in self.sinks.items()}
         if self.checkpoint:
             rows.where("status = 'completed'").select(self.key).write.mode("append").parquet(f"{self.checkpoint}/done")
             index = [(json.dumps({"pipeline": self.name, "completed": n["ok"], "timestamp": time.time(), "stages": self.order()}),)]

@@ -283,7 +283,7 @@ def patient_split(spark, d):
     return table(spark, d, "orders").select("o_orderkey", "o_custkey", sampling.split_of(F.col("o_custkey")).alias("split"))
 
 
-@query("""with a as (select distinct user_id from events where event_type = 'view'), b as (select distinct user_id from events where event_type = 'purchase' and event_id % 7 = 0), c as (select distinct user_id from events where event_type = 'error' and event_id % 11 = 0)
+@query("""with a as (select distinct user_id from events where event_type = 'view'), b as (select distinct user_id from events where event_type = 'purchase'), c as (select distinct user_id from events where event_type = 'error')
 select 'train' left_split, 'val' right_split, (select count(*) from a) left_ids, (select count(*) from b) right_ids, (select count(*) from (from a intersect from b)) overlap, (select count(*) from (from a intersect from b)) > 0 has_leakage
 union all select 'train', 'test', (select count(*) from a), (select count(*) from c), (select count(*) from (from a intersect from c)), (select count(*) from (from a intersect from c)) > 0
 union all select 'val', 'test', (select count(*) from b), (select count(*) from c), (select count(*) from (from b intersect from c)), (select count(*) from (from b intersect from c)) > 0""")
@@ -293,10 +293,10 @@ def patient_leakage(spark, d):
 
 def _splits(spark, d) -> dict[str, DataFrame]:
     e = table(spark, d, "events")
-    return {"train": e.where("event_type = 'view'"), "val": e.where("event_type = 'purchase' and event_id % 7 = 0"), "test": e.where("event_type = 'error' and event_id % 11 = 0")}
+    return {"train": e.where("event_type = 'view'"), "val": e.where("event_type = 'purchase'"), "test": e.where("event_type = 'error'")}
 
 
-@query("select user_id from (select user_id from events where event_type = 'view' intersect select user_id from events where event_type = 'purchase' and event_id % 7 = 0) order by user_id limit 20")
+@query("select user_id from (select user_id from events where event_type = 'view' intersect select user_id from events where event_type = 'purchase') order by user_id limit 20")
 def leaked_ids_top20(spark, d):
     s = _splits(spark, d)
     return quality.leaked_ids(s["train"], s["val"], "user_id")
@@ -320,9 +320,9 @@ def sidecar_pairing(spark, d):
     return labelled(spark, d).select("doc_id", "n_chars", "quality", F.col("quality").isNotNull().alias("paired"))
 
 
-@query("select s_suppkey, n_name profile, coalesce(n_regionkey * 0.5, 0.0)::double \"offset\", s_acctbal + coalesce(n_regionkey * 0.5, 0.0)::double corrected from supplier left join (select * from nation where n_nationkey < 20) on s_nationkey = n_nationkey")
+@query("select s_suppkey, n_name profile, coalesce(n_regionkey * 0.5, 0.0)::double \"offset\", s_acctbal + coalesce(n_regionkey * 0.5, 0.0)::double corrected from supplier left join nation on s_nationkey = n_nationkey")
 def profile_lookup(spark, d):
-    p = table(spark, d, "nation").where("n_nationkey < 20").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("profile"), (F.col("n_regionkey") * F.lit(0.5)).alias("o"))
+    p = table(spark, d, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("profile"), (F.col("n_regionkey") * F.lit(0.5)).alias("o"))
     off = F.coalesce("o", F.lit(0.0))
     return table(spark, d, "supplier").join(p, "s_nationkey", "left").select("s_suppkey", "profile", off.alias("offset"), (F.col("s_acctbal") + off).alias("corrected"))
 

@@ -9,15 +9,17 @@ from __future__ import annotations
 
 import os
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from radspark import storage
 from radspark.functions import metadata as md
 
 # Keywords, tag numbers and value representations of the DICOM data dictionary (PS3.6).
@@ -246,38 +248,91 @@ PX = "struct<has_pixels:boolean,error:string,height:int,width:int,min:double,max
 PARSED = f"path string, length long, status string, error string, file_hash string, tags map<string,array<string>>, px {PX}"
 
 
+#: Bytes that a header-only read takes first; a header that is longer costs a second, whole read.
+HEAD = 1 << 16
+
+
+def with_heads(files: DataFrame, head: int = HEAD) -> DataFrame:
+    """path, length, content of files (path, length): content up to ``head`` bytes, or all where the header is longer.
+
+    Files are opened in the executors and read as far as needed. Stores that
+    only Spark's readers open are read whole by those.
+    """
+    spark = files.sparkSession
+    some = files.select("path").first()
+    if some and not storage.can_open(some[0]):
+        whole = spark.read.format("binaryFile").load([r["path"] for r in files.select("path").collect()])
+        return whole.select("path", "length", "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k, (path, length) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+                try:
+                    with storage.open_read(path) as f:
+                        data = f.read(head)
+                        if len(data) < (length or 0) and data[128:132] == b"DICM":
+                            try:
+                                parse(data)
+                            except DicomError:
+                                data += f.read()
+                except OSError:
+                    data = None
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(k, 1), b.column(1).slice(k, 1), pa.array([data], pa.binary())], names=["path", "length", "content"])
+
+    return files.select("path", F.col("length").cast("long").alias("length")).mapInArrow(run, "path string, length long, content binary")
+
+
+def _inspect(data: bytes | None, pixels: bool, strict: bool) -> dict:
+    """status, error, tags and px of one file's bytes."""
+    out = {"status": "ok", "error": None, "tags": {}, "px": None}
+    data = data or b""
+    if data[128:132] != b"DICM" and strict:
+        return out | {"status": "not_dicom", "error": "no DICM mark"}
+    try:
+        ds = parse(data, pixels, strict)
+    except DicomError as x:
+        return out | {"status": "parse_error", "error": str(x)}
+    px = {"has_pixels": "PixelData" in ds.tags}
+    if pixels and px["has_pixels"]:
+        try:
+            a = pixel_array(ds).astype(np.float64)
+            side = a.shape[-2:]
+            px |= {"height": side[0], "width": side[1], "min": float(a.min()), "max": float(a.max()), "mean": float(a.mean()), "std": float(a.std())}
+        except (DicomError, ValueError) as x:
+            px["error"] = str(x)
+    return out | {"tags": ds.tags, "px": px}
+
+
+_TEXT = pa.string()
+_PX = pa.struct([("has_pixels", pa.bool_()), ("error", _TEXT), ("height", pa.int32()), ("width", pa.int32()), ("min", pa.float64()), ("max", pa.float64()), ("mean", pa.float64()), ("std", pa.float64())])
+_FACTS = pa.struct([("status", _TEXT), ("error", _TEXT), ("tags", pa.map_(_TEXT, pa.list_(_TEXT))), ("px", _PX)])
+
+
+def tagged(files: DataFrame, pixels: bool = False, strict: bool = True, column: str = "dicom") -> DataFrame:
+    """``files`` (with content) and a struct ``column``: status, error, tags, px. One hop, all columns carried, no join."""
+    kept = [f for f in files.schema.fields if f.name != column]
+    schema = T.StructType([*kept, T.StructField(column, T._parse_datatype_string(f"struct<status:string,error:string,tags:map<string,array<string>>,px:{PX}>"))])
+    at = [f.name for f in kept].index("content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            facts = [_inspect(c.as_py(), pixels, strict) for c in b.column(at)]
+            rows = [f | {"tags": list(f["tags"].items())} for f in facts]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, _FACTS)], names=[*[f.name for f in kept], column])
+
+    return files.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(run, schema)
+
+
 def parse_files(files: DataFrame, pixels: bool = False, strict: bool = True) -> DataFrame:
     """path, length, status (ok, not_dicom, parse_error), error, file_hash, tags and px of files (path, length, content)."""
     hashed = files.select("path", "length", md.head_hash(F.col("content")).alias("file_hash"), "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for path, length, digest, data in zip(*(b.column(i) for i in range(4))):
-                data = data.as_py() or b""
-                status, err, tags, px = "ok", None, {}, None
-                if data[128:132] != b"DICM" and strict:
-                    status, err = "not_dicom", "no DICM mark"
-                else:
-                    try:
-                        ds = parse(data, pixels, strict)
-                        tags = ds.tags
-                        px = {"has_pixels": "PixelData" in tags}
-                        if pixels and px["has_pixels"]:
-                            try:
-                                a = pixel_array(ds).astype(np.float64)
-                                side = a.shape[-2:]
-                                px |= {"height": side[0], "width": side[1], "min": float(a.min()), "max": float(a.max()), "mean": float(a.mean()), "std": float(a.std())}
-                            except (DicomError, ValueError) as x:
-                                px["error"] = str(x)
-                    except DicomError as x:
-                        status, err = "parse_error", str(x)
-                rows.append((path.as_py(), length.as_py(), status, err, digest.as_py(), list(tags.items()), px))
-            s = pa.string()
-            px_type = pa.struct([("has_pixels", pa.bool_()), ("error", s), ("height", pa.int32()), ("width", pa.int32()), ("min", pa.float64()), ("max", pa.float64()), ("mean", pa.float64()), ("std", pa.float64())])
-            kinds = [s, pa.int64(), s, s, s, pa.map_(s, pa.list_(s)), px_type]
-            cols = list(zip(*rows)) or [[]] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], names=["path", "length", "status", "error", "file_hash", "tags", "px"])
+            facts = [_inspect(c.as_py(), pixels, strict) for c in b.column(3)]
+            col = lambda n, kind: pa.array([list(f[n].items()) if n == "tags" else f[n] for f in facts], kind)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), col("status", _TEXT), col("error", _TEXT), b.column(2), col("tags", pa.map_(_TEXT, pa.list_(_TEXT))), col("px", _PX)],
+                                             names=["path", "length", "status", "error", "file_hash", "tags", "px"])
 
     return hashed.mapInArrow(run, PARSED)
 
@@ -300,8 +355,8 @@ def header_records(files: DataFrame) -> DataFrame:
         text("TransferSyntaxUID").alias("transfer_syntax_uid"), "file_hash", F.when(no_uid, "parse_error").otherwise(F.col("status")).alias("status"), F.when(no_uid, "no SOPInstanceUID").otherwise(F.col("error")).alias("error"))
 
 
-def metadata(parsed: DataFrame, private: bool = True, iso_dates: bool = True) -> DataFrame:
-    """Normalised metadata of parsed files; failed files keep ``extraction_error`` and null fields."""
+def metadata(parsed: DataFrame, private: bool = True, iso_dates: bool = True, carry: Sequence[str] = ()) -> DataFrame:
+    """Normalised metadata of parsed files, beside the columns ``carry``; failed files keep ``extraction_error`` and null fields."""
     s = lambda w: md.blank_to_null(_tag(w))
     e = lambda w: F.coalesce(_tag(w), F.lit(""))
     i = lambda w, d=0: F.coalesce(_tag(w).try_cast("int"), F.lit(d))
@@ -339,7 +394,7 @@ def metadata(parsed: DataFrame, private: bool = True, iso_dates: bool = True) ->
         "megapixels": md.megapixels(i("Rows"), i("Columns")), "aspect_ratio": md.aspect_ratio(i("Rows"), i("Columns")), "manufacturer_private_tags_extracted": F.lit(private) & mg,
     }
     ok = F.col("status") == "ok"
-    return parsed.select(F.col("path").alias("source_path"), *[F.when(ok, c).alias(n) for n, c in cols.items()], F.when(~ok, F.coalesce("error", "status")).alias("extraction_error"))
+    return parsed.select(*carry, F.col("path").alias("source_path"), *[F.when(ok, c).alias(n) for n, c in cols.items()], F.when(~ok, F.coalesce("error", "status")).alias("extraction_error"))
 
 
 class DicomDataSource(DataSource):

@@ -1,9 +1,10 @@
 """Sharded datasets: tar shards, Parquet shards, .npy folders, length-prefixed blobs, manifests.
 
 Samples are rows (key string, image struct, label string, metadata JSON).
-Shard numbers come first (a column), then each shard is written by one task:
-to a temporary name, renamed when complete, so a repeated task leaves no half
-file. The manifest is written last.
+Shard numbers come first (a column), then each shard is written by one task,
+member by member, into the store that the output path names (any that pyarrow
+opens): to an attempt's own name, moved when complete, so a repeated task
+leaves no half file. The manifest is written last.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from radspark import storage
 from radspark.operators import imaging, sampling
 
 SAMPLE = f"key string, image {imaging.IMAGE}, label string, metadata string"
@@ -98,14 +100,13 @@ def write_tar(samples: DataFrame, c: WriterConfig) -> WriteStats:
     """Tar shards ``{prefix}_{number:06d}.tar`` with <key>.npy or .npz, .json (label merged in) and .cls members."""
     begun = time.time()
     rows = assign_shards(samples.select("key", "image", F.col("label").cast("string").alias("label"), F.col("metadata").cast("string").alias("metadata")), c)
-    os.makedirs(c.out, exist_ok=True)
+    out = storage.qualified(samples.sparkSession, c.out)
 
     def write(key, batch):
         n = key[0].as_py()
-        path = os.path.join(c.out, f"{c.prefix}_{n:06d}.tar")
+        path = f"{out}/{c.prefix}_{n:06d}.tar"
         t, total = batch.sort_by("key"), 0
-        tmp = f"{path}.{os.getpid()}.tmp"
-        with tarfile.open(tmp, "w") as tar:
+        with storage.open_write(path) as stream, tarfile.open(fileobj=stream, mode="w|") as tar:
             for k, img, label, meta in zip(*(t.column(x) for x in ("key", "image", "label", "metadata"))):
                 k, label = k.as_py(), label.as_py()
                 s = img.as_py()
@@ -120,12 +121,11 @@ def write_tar(samples: DataFrame, c: WriterConfig) -> WriteStats:
                 _member(tar, f"{k}.json", json.dumps(facts, default=str).encode())
                 if label is not None:
                     _member(tar, f"{k}.cls", label.encode())
-        os.replace(tmp, path)
         return pa.table({"shard": pa.array([n], pa.int32()), "path": pa.array([path]), "samples": pa.array([t.num_rows], pa.int64()), "bytes": pa.array([total], pa.int64())})
 
     done = rows.groupBy("shard").applyInArrow(write, WRITTEN).orderBy("shard").collect()  # one row per shard
     stats = WriteStats(sum(r["samples"] for r in done), sum(r["bytes"] for r in done), len(done), time.time() - begun, [r["path"] for r in done])
-    write_manifest(c.out, {"format": "webdataset", "total_samples": stats.total_samples, "total_shards": stats.total_shards, "shard_size_mb": c.shard_mb,
+    write_manifest(out, {"format": "webdataset", "total_samples": stats.total_samples, "total_shards": stats.total_shards, "shard_size_mb": c.shard_mb,
                            "image_format": c.image_format, "shards": [os.path.basename(p) for p in stats.output_paths]})
     return stats
 
@@ -137,7 +137,7 @@ def write_parquet(samples: DataFrame, c: WriterConfig) -> WriteStats:
     rows.repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(c.out)
     own = samples.sparkSession.read.parquet(c.out).groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("image.data")).alias("b")).orderBy("shard").collect()  # one row per shard
     stats = WriteStats(sum(r["n"] for r in own), sum(r["b"] or 0 for r in own), len(own), time.time() - begun, [f"{c.out}/shard={r['shard']}" for r in own])
-    write_manifest(c.out, {"format": "parquet", "total_samples": stats.total_samples, "total_shards": stats.total_shards, "samples_per_shard": c.per_shard})
+    write_manifest(storage.qualified(samples.sparkSession, c.out), {"format": "parquet", "total_samples": stats.total_samples, "total_shards": stats.total_shards, "samples_per_shard": c.per_shard})
     return stats
 
 
@@ -170,20 +170,47 @@ def write_blobs(samples: DataFrame, c: WriterConfig) -> WriteStats:
     rows = samples.where("image is not null").select("key", "image", F.col("label").cast("string"), F.col("metadata").cast("string"))
     rows.mapInArrow(run, "key string, value binary").write.mode("overwrite").parquet(c.out)
     got = samples.sparkSession.read.parquet(c.out).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("value")), F.lit(0)).alias("b")).first()
-    write_manifest(c.out, {"format": "blobs", "total_samples": got["n"], "total_bytes": got["b"]})
+    write_manifest(storage.qualified(samples.sparkSession, c.out), {"format": "blobs", "total_samples": got["n"], "total_bytes": got["b"]})
     return WriteStats(got["n"], got["b"], 1, time.time() - begun, [c.out])
 
 
 def write_hdf5(samples: DataFrame, c: WriterConfig) -> WriteStats:
-    """HDF5 needs h5py, which is optional; Parquet shards hold the same."""
+    """HDF5 files of ``images``, ``labels`` (null: -1), ``keys`` and ``metadata``, one for each shard; needs h5py.
+
+    Images of one shape are one dataset, others one dataset each (``images/<n>``).
+    """
     try:
         import h5py  # noqa: F401
     except ImportError as x:
         raise RuntimeError("HDF5 output needs h5py; use format 'parquet'") from x
-    raise NotImplementedError("HDF5 output is left to a plug-in")
+    begun, out = time.time(), storage.qualified(samples.sparkSession, c.out)
 
+    def write(key, batch):
+        import h5py
+
+        n, t, buf = key[0].as_py(), batch.sort_by("key"), io.BytesIO()
+        images = [imaging.decode(i.as_py()) for i in t.column("image")]
+        with h5py.File(buf, "w") as f:
+            if len({i.shape for i in images}) == 1:
+                f["images"] = np.stack(images)
+            else:
+                for k, i in enumerate(images):
+                    f[f"images/{k}"] = i
+            f["labels"] = np.array([-1 if v is None else v for v in t.column("label").to_pylist()], np.int64)
+            f["keys"], f["metadata"] = t.column("key").to_pylist(), [m or "{}" for m in t.column("metadata").to_pylist()]
+        path = f"{out}/{c.prefix}_{n:06d}.h5"
+        with storage.open_write(path) as stream:
+            stream.write(buf.getvalue())
+        return pa.table({"shard": pa.array([n], pa.int32()), "path": pa.array([path]), "samples": pa.array([t.num_rows], pa.int64()), "bytes": pa.array([sum(i.nbytes for i in images)], pa.int64())})
+
+    rows = assign_shards(samples.where("image is not null").withColumn("label", F.col("label").try_cast("long")), c)
+    done = rows.groupBy("shard").applyInArrow(write, WRITTEN).orderBy("shard").collect()  # one row per shard
+    stats = WriteStats(sum(r["samples"] for r in done), sum(r["bytes"] for r in done), len(done), time.time() - begun, [r["path"] for r in done])
+    write_manifest(out, {"format": "hdf5", "total_samples": stats.total_samples, "total_shards": stats.total_shards, "samples_per_shard": c.per_shard})
+    return stats
 
-WRITERS = {"webdataset": write_tar, "parquet": write_parquet, "lmdb": write_blobs, "blobs": write_blobs, "hdf5": write_hdf5}
+
+WRITERS = {"webdataset": write_tar, "parquet": write_parquet, "blobs": write_blobs, "hdf5": write_hdf5}
 
 
 def write(samples: DataFrame, format: str, c: WriterConfig) -> WriteStats:
@@ -194,10 +221,8 @@ def write(samples: DataFrame, format: str, c: WriterConfig) -> WriteStats:
 
 def write_manifest(folder: str, facts: dict) -> None:
     """``manifest.json``; ``_manifest.json`` beside Parquet files, whose readers pass over such names."""
-    tmp = os.path.join(folder, "._manifest.tmp")
-    with open(tmp, "w") as f:
-        json.dump(facts, f, indent=1)
-    os.replace(tmp, os.path.join(folder, "manifest.json" if facts["format"] == "webdataset" else "_manifest.json"))
+    with storage.open_write(f"{folder}/{'manifest.json' if facts['format'] == 'webdataset' else '_manifest.json'}") as f:
+        f.write(json.dumps(facts, indent=1).encode())
 
 
 def training_manifest(paths: DataFrame, out: str, path: str = "path") -> None:
@@ -213,38 +238,56 @@ def _image_of(name: str, data: bytes) -> np.ndarray | None:
     return got
 
 
+#: Samples of a shard that are held until their last member is met; members of a sample lie side by side in common shards.
+OPEN_SAMPLES = 64
+
+
+def _samples_of(tar: tarfile.TarFile) -> Iterator[tuple[str, dict[str, bytes]]]:
+    """(key, members by extension) as a tar is streamed."""
+    by: dict[str, dict[str, bytes]] = {}
+    for m in tar:
+        if not m.isfile() or "." not in m.name:
+            continue
+        key, ext = m.name.rsplit(".", 1)
+        if key not in by and len(by) >= OPEN_SAMPLES:
+            first = next(iter(by))
+            yield first, by.pop(first)
+        by.setdefault(key, {})[ext] = tar.extractfile(m).read()
+    yield from by.items()
+
+
 def read_tar(spark: SparkSession, paths: str | Sequence[str], seed: int | None = None) -> DataFrame:
-    """``SAMPLE`` rows and their shard path; samples without an image go, a broken shard gives none.
+    """``SAMPLE`` rows and their shard path; samples without an image go.
 
-    A seed shuffles the rows. Labels stay text: the .cls member, else the
+    Shards are streamed in the executors, a few samples at a time, so their
+    size does not matter; a broken one gives the samples before the break. A
+    seed shuffles the rows. Labels stay text: the .cls member, else the
     metadata's.
     """
-    files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths)).select("path", "content")
+    files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+    some = files.select("path").first()
+    streamed = some is None or storage.can_open(some[0])
+    files = files.select("path", F.lit(None).cast("binary").alias("content") if streamed else "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for path, content in zip(b.column(0), b.column(1)):
-                by: dict[str, dict[str, bytes]] = {}
+            for path, content in zip(b.column(0).to_pylist(), b.column(1)):
                 try:
-                    with tarfile.open(fileobj=io.BytesIO(content.as_py())) as tar:
-                        for m in tar:
-                            if m.isfile() and "." in m.name:
-                                key, ext = m.name.rsplit(".", 1)
-                                by.setdefault(key, {})[ext] = tar.extractfile(m).read()
+                    with (storage.open_read(path) if streamed else io.BytesIO(content.as_py())) as f, tarfile.open(fileobj=f, mode="r|*") as tar:
+                        for key, parts in _samples_of(tar):
+                            kind = "npy" if "npy" in parts else "npz" if "npz" in parts else None
+                            if kind is None:
+                                continue
+                            try:
+                                img = imaging.encode(_image_of(kind, parts[kind]))
+                                meta = json.loads(parts.get("json", b"{}"))
+                            except (ValueError, OSError, EOFError):
+                                continue
+                            label = parts["cls"].decode() if "cls" in parts else meta.get("label")
+                            yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([img], imaging.IMAGE_TYPE), pa.array([None if label is None else str(label)], pa.string()),
+                                                              pa.array([json.dumps(meta)]), pa.array([path])], names=["key", "image", "label", "metadata", "shard_path"])
                 except (tarfile.TarError, EOFError, OSError):
                     continue
-                for key, parts in by.items():
-                    kind = "npy" if "npy" in parts else "npz" if "npz" in parts else None
-                    if kind is None:
-                        continue
-                    try:
-                        img = imaging.encode(_image_of(kind, parts[kind]))
-                        meta = json.loads(parts.get("json", b"{}"))
-                    except (ValueError, OSError, EOFError):
-                        continue
-                    label = parts["cls"].decode() if "cls" in parts else meta.get("label")
-                    yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([img], imaging.IMAGE_TYPE), pa.array([None if label is None else str(label)], pa.string()),
-                                                      pa.array([json.dumps(meta)]), pa.array([path.as_py()])], names=["key", "image", "label", "metadata", "shard_path"])
 
     out = files.mapInArrow(run, f"{SAMPLE}, shard_path string")
     return out if seed is None else sampling.shuffled(out, "key", seed)

@@ -69,3 +69,54 @@ def release() -> None:
             _delete(spark, path)
         except Exception:  # the session may have ended before the interpreter
             return
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the store that it lies in."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString()
+
+
+def _store(path: str):
+    """The pyarrow file system of a path, and the path in it."""
+    from pyarrow import fs
+
+    scheme, mark, rest = path.partition(":")
+    if not mark or "/" in scheme:
+        return fs.LocalFileSystem(), path
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+
+
+def can_open(path: str) -> bool:
+    """Whether tasks can open the store of ``path`` themselves."""
+    try:
+        _store(path)
+    except Exception:  # unknown scheme, or a client that is not installed
+        return False
+    return True
+
+
+def open_read(path: str):
+    store, at = _store(path)
+    return store.open_input_stream(at)
+
+
+@contextmanager
+def open_write(path: str) -> Iterator:
+    """A stream whose bytes appear at ``path`` once it is closed without error; names of attempts never clash."""
+    store, at = _store(path)
+    folder, _, name = at.rpartition("/")
+    store.create_dir(folder, recursive=True)
+    tmp = f"{folder}/.{name}.{uuid.uuid4().hex}.tmp"
+    try:
+        with store.open_output_stream(tmp) as out:
+            yield out
+        store.move(tmp, at)
+    except BaseException:
+        try:
+            store.delete_file(tmp)
+        except OSError:
+            pass
+        raise

@@ -51,7 +51,7 @@ def test_shards_roll_by_bytes(spark, tmp_path):
 def test_other_formats(spark, tmp_path):
     p = shards.write(samples(spark), "parquet", shards.WriterConfig(str(tmp_path / "p"), per_shard=4))
     assert p.total_shards == 3 and spark.read.parquet(str(tmp_path / "p")).where("shard = 2").count() == 2
-    b = shards.write(samples(spark), "lmdb", shards.WriterConfig(str(tmp_path / "b")))
+    b = shards.write(samples(spark), "blobs", shards.WriterConfig(str(tmp_path / "b")))
     v = spark.read.parquet(str(tmp_path / "b")).where("key = 'sample_0007'").first()["value"]
     img, label, meta = shards.read_blob(bytes(v))
     assert b.total_samples == 10 and img[0, 0] == 7 and label == "1" and meta == {"idx": 7}
@@ -187,12 +187,21 @@ pipeline:
     - {name: extract_metadata, depends_on: [validate]}
     - {name: pixel_processing, depends_on: [extract_metadata]}
     - {name: image_transforms, depends_on: [pixel_processing], config: {target_size: [32, 16]}}
+    - {name: mammography_processing, depends_on: [image_transforms], config: {morphology_kernel_size: 3, clahe_enabled: false, crop_to_breast: false}}
+    - {name: quality_check, depends_on: [image_transforms], config: {report_output: "%s/q/report.html"}}
+    - {name: write_dataset, depends_on: [quality_check], config: {format: webdataset, output_dir: "%s/set", shard_prefix: mg}}
 splits: {train_fraction: 0.5, val_fraction: 0.25, seed: 1}
-""")
+""" % (tmp_path, tmp_path))
     code = cli.main(["run", "--config", str(conf), "--input", str(root), "--output", str(tmp_path / "out"), "--checkpoint", str(tmp_path / "ck")])
     rows = {os.path.basename(r["path"]): r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert code == 1 and rows["a.dcm"]["status"] == "completed" and rows["a.dcm"]["image"]["height"] == 32 and rows["b.dcm"]["status"] == "failed" and rows["b.dcm"]["stage"] == "validate"
     assert cli.main(["run", "--config", str(conf), "--input", str(root), "--output", str(tmp_path / "out"), "--dry-run"]) == 0
+    back = shards.read_tar(spark, str(tmp_path / "set" / "*.tar")).collect()
+    assert [r["key"] for r in back] == ["1.1"] and json.loads(back[0]["metadata"])["patient_id"] == "P1" and json.load(open(tmp_path / "set" / "manifest.json"))["shards"] == ["mg_000000.tar"]
+    assert "Completeness" in (tmp_path / "q" / "report.html").read_text() and json.loads((tmp_path / "q" / "report.json").read_text())["completeness"]
+    for text in ("{name: no_such_stage}", "{name: mammography_processing, config: {no_such_setting: 1}}"):
+        (tmp_path / "bad.yaml").write_text("pipeline: {stages: [{name: scan, config: {min_file_size: 100}}, {name: pixel_processing}, %s]}" % text)
+        assert cli.main(["run", "--config", str(tmp_path / "bad.yaml"), "--input", str(root), "--output", str(tmp_path / "bad")]) == 2
     assert cli.main(["run", "--config", str(tmp_path / "none.yaml"), "--input", str(root), "--output", "x"]) == 2
     s = config.split(spark.createDataFrame([(str(i),) for i in range(100)], "patient_id string"), config.load(str(conf)))
     assert s.where("split = 'train'").count() < 70
@@ -211,7 +220,9 @@ def test_logs_progress_and_manifests(spark, tmp_path):
     except ZeroDivisionError:
         log.exception("bad", extra={"stage": "s"})
     line = json.loads((tmp_path / "l").read_text().splitlines()[0])
-    assert line["stage"] == "s" and line["exception"]["type"] == "ZeroDivisionError"
+    assert line["fields"] == {"stage": "s"} and line["error"].startswith("ZeroDivisionError") and line["event"] == "bad" and line["level"] == "error"
+    shown = logs.ForPeople(colour=True).format(log.makeRecord("radspark", 30, "f", 1, "hm %d", (3,), None, extra={"stage": "x"}))
+    assert shown.startswith("\x1b[33m") and "hm 3 stage=x" in shown
     assert metrics.progress(3, 1, 8, 2.0) == {"fraction": 0.5, "rate": 2.0, "eta_sec": 2.0}
     (tmp_path / "train_manifest.json").write_text('[{"patient_id": "a"}, {"patient_id": ""}, {"x": 1}]')
     (tmp_path / "val_manifest.json").write_text('[{"patient_id": "a", "y": 2}, {"patient_id": "b"}]')
