@@ -6,11 +6,13 @@ where the rule is broken. All rules of a record are one expression.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ERROR, WARNING, INFO = "error", "warning", "info"
 FINDING = "array<struct<severity:string,category:string,tag:string,message:string,value:string>>"
@@ -123,6 +125,40 @@ def validate(records: DataFrame, strict: bool = False, pixels: bool = True, requ
     return out.withColumn("is_valid", is_valid("findings"))
 
 
+#: A check on a record's raw tags (name -> values): its findings as (severity, category, tag, message, value).
+Check = Callable[[dict[str, list[str]]], Iterable[tuple[str, str, str, str, str | None]]]
+
+
+def check_with(validated: DataFrame, checks: dict[str, Check]) -> DataFrame:
+    """``validated`` with the findings of Python checks added, and ``is_valid`` brought up to date.
+
+    A check that raises is a finding itself (``custom``, an error). Records
+    that could not be parsed are not checked. Rules say the same inside the
+    plan; functions are for what Columns cannot express.
+    """
+    kept = list(validated.schema.fields)
+    names = [f.name for f in kept]
+    at, status = names.index("tags"), names.index("status")
+    found = pa.list_(pa.struct([(n, pa.string()) for n in ("severity", "category", "tag", "message", "value")]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for tags, ok in zip(b.column(at).to_pylist(), b.column(status).to_pylist()):
+                mine = []
+                for name, f in checks.items() if ok == "ok" else ():
+                    try:
+                        mine += [dict(zip(("severity", "category", "tag", "message", "value"), x)) for x in f(dict(tags or []))]
+                    except Exception as x:  # a broken check must not end the job
+                        mine.append({"severity": ERROR, "category": "custom", "tag": name, "message": "check failed", "value": f"{type(x).__name__}: {x}"})
+                out.append(mine)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, found)], names=[*names, "more"])
+
+    schema = T.StructType([*kept, T.StructField("more", T._parse_datatype_string(FINDING))])
+    out = validated.mapInArrow(run, schema).withColumn("findings", F.concat("findings", "more")).drop("more")
+    return out.withColumn("is_valid", is_valid("findings"))
+
+
 def rejection_log(validated: DataFrame, path: str = "path") -> DataFrame:
     """One row per finding."""
     return validated.select(path, F.explode("findings").alias("f")).select(path, "f.*")

@@ -8,6 +8,7 @@ as Parquet, and a later run leaves them out with an anti join.
 from __future__ import annotations
 
 import json
+import threading
 import time
 import uuid
 from collections.abc import Callable
@@ -111,8 +112,8 @@ class Pipeline:
             columns = df.columns
         return df.withColumn("status", F.when(F.col("status") == "failed", "failed").otherwise("completed")).select(*(columns or df.columns))
 
-    def run(self, df: DataFrame, out: str, resume: bool = True) -> Result:
-        """Run, write the rows to ``out`` and remember completed keys."""
+    def run(self, df: DataFrame, out: str, resume: bool = True, progress: Callable[[dict], None] | None = None) -> Result:
+        """Run, write the rows to ``out`` and remember completed keys; ``progress`` is told of the tasks while the plan runs."""
         spark, begun = df.sparkSession, time.time()
         result = Result(checkpoint_path=self.checkpoint)
         done = self.done(spark) if resume else None
@@ -121,13 +122,17 @@ class Pipeline:
             df = df.join(done, self.key, "left_anti")
         tries = 1 + max([s.retries for s in self.stages.values()], default=0)
         path = f"{out}/run={uuid.uuid4().hex}"
-        for k in range(tries):
-            try:
-                self.plan(df).write.mode("overwrite").parquet(path)
-                break
-            except Exception:
-                if k == tries - 1:
-                    raise
+        end = watch(spark, progress, 0.2) if progress else lambda: None
+        try:
+            for k in range(tries):
+                try:
+                    self.plan(df).write.mode("overwrite").parquet(path)
+                    break
+                except Exception:
+                    if k == tries - 1:
+                        raise
+        finally:
+            end()
         rows = spark.read.parquet(path)
         n = rows.agg(F.count_if(F.col("status") == "completed").alias("ok"), F.count_if(F.col("status") == "failed").alias("bad")).first()
         result.total_processed, result.total_failed = n["ok"], n["bad"]
@@ -143,8 +148,52 @@ class Pipeline:
         return result
 
 
-def map_rows(df: DataFrame, fn: Callable, key: str, value: str, retries: int = 0) -> DataFrame:
-    """key, success, output (JSON), error, duration_sec of ``fn(value)`` for every row, failures kept in the row."""
+def _within(fn: Callable, v, timeout: float | None):
+    """``fn(v)``; TimeoutError once ``timeout`` seconds are over (the call itself is left to end on its own)."""
+    if not timeout:
+        return fn(v)
+    got: list = []
+
+    def call() -> None:
+        try:
+            got.append((fn(v), None))
+        except BaseException as x:
+            got.append((None, x))
+
+    t = threading.Thread(target=call, daemon=True)
+    t.start()
+    t.join(timeout)
+    if not got:
+        raise TimeoutError(f"no result after {timeout} s")
+    if got[0][1] is not None:
+        raise got[0][1]
+    return got[0][0]
+
+
+def watch(spark: SparkSession, tell: Callable[[dict], None], every: float = 1.0) -> Callable[[], None]:
+    """Call ``tell`` with {"tasks", "done", "fraction"} of the running stages every few seconds; returns what ends it."""
+    over = threading.Event()
+    tracker = spark.sparkContext.statusTracker()
+
+    def look() -> None:
+        while not over.wait(every):
+            infos = [i for i in map(tracker.getStageInfo, tracker.getActiveStageIds()) if i]
+            n, done = sum(i.numTasks for i in infos), sum(i.numCompletedTasks for i in infos)
+            if n:
+                tell({"tasks": n, "done": done, "fraction": done / n})
+
+    thread = threading.Thread(target=look, daemon=True)
+    thread.start()
+
+    def end() -> None:
+        over.set()
+        thread.join()
+
+    return end
+
+
+def map_rows(df: DataFrame, fn: Callable, key: str, value: str, retries: int = 0, timeout: float | None = None) -> DataFrame:
+    """key, success, output (JSON), error, duration_sec of ``fn(value)`` for every row, failures and calls above ``timeout`` seconds kept in the row."""
     import pandas as pd
 
     def run(parts):
@@ -154,7 +203,7 @@ def map_rows(df: DataFrame, fn: Callable, key: str, value: str, retries: int = 0
                 begun, got, err = time.perf_counter(), None, None
                 for _ in range(1 + retries):
                     try:
-                        got, err = json.dumps(fn(v), default=str), None
+                        got, err = json.dumps(_within(fn, v, timeout), default=str), None
                         break
                     except Exception as x:
                         err = f"{type(x).__name__}: {x}"

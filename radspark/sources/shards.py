@@ -9,6 +9,7 @@ leaves no half file. The manifest is written last.
 
 from __future__ import annotations
 
+import functools
 import io
 import json
 import os
@@ -340,3 +341,33 @@ def batches(samples: DataFrame, size: int, drop_last: bool = False, buffer: int
             part = []
     if part and not drop_last:
         yield collate(part)
+
+
+class RandomAccess:
+    """Samples of Parquet shards by place or key, for a trainer's process; the last ``cache`` of them stay decoded.
+
+    Only keys are read at first; a sample costs one filtered read of its
+    shard's row groups. The folder must be of a store that pyarrow opens.
+    """
+
+    def __init__(self, folder: str, cache: int = 256):
+        import pyarrow.dataset as ds
+
+        store, at = storage._store(folder)
+        self.data = ds.dataset(at, filesystem=store, partitioning="hive", exclude_invalid_files=False, ignore_prefixes=["_", "."])
+        self.keys = sorted(self.data.to_table(columns=["key"]).column("key").to_pylist())
+        self._load = functools.lru_cache(maxsize=cache)(self._read)
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def __getitem__(self, k: int | str) -> dict:
+        return self._load(self.keys[k] if isinstance(k, int) else k)
+
+    def _read(self, key: str) -> dict:
+        import pyarrow.dataset as ds
+
+        got = self.data.to_table(filter=ds.field("key") == key, columns=["key", "image", "label", "metadata"]).to_pylist()
+        if not got:
+            raise KeyError(key)
+        return got[0] | {"image": imaging.decode(got[0]["image"]), "metadata": json.loads(got[0]["metadata"] or "{}")}

@@ -84,6 +84,56 @@ def test_map_rows(spark):
     df = spark.createDataFrame([(i, i) for i in range(1, 5)], "k int, v int")
     r = {x["key"]: x for x in map_rows(df, lambda v: int(v) ** 2 if v != 3 else 1 / 0, "k", "v", retries=1).collect()}
     assert r["2"]["output"] == "4" and not r["3"]["success"] and "ZeroDivision" in r["3"]["error"]
+    import time
+
+    slow = {x["key"]: x for x in map_rows(df, lambda v: time.sleep(5 * (v == 2)) or int(v), "k", "v", timeout=0.5).collect()}
+    assert "TimeoutError" in slow["2"]["error"] and slow["1"]["output"] == "1" and sum(x["success"] for x in slow.values()) == 3
+
+
+def test_progress_is_told(spark, tmp_path):
+    told = []
+    slow = F.udf(lambda v: __import__("time").sleep(0.3) or v, "long")
+    p = Pipeline(key="id").add("wait", lambda d: d.withColumn("v", slow("id")))
+    assert p.run(spark.range(0, 8, 1, 8), str(tmp_path / "o"), progress=told.append).total_processed == 8
+    assert told and all(0 <= t["fraction"] <= 1 and t["tasks"] >= t["done"] for t in told)
+
+
+def test_python_checks(spark, tmp_path):
+    from radspark.operators import catalog, validation
+    from radspark.sources import dicom
+
+    rows = [("a", make({"SOPInstanceUID": "1.1"}, np.arange(64, dtype=np.uint16).reshape(8, 8))), ("b", b"x" * 200)]
+    files = spark.createDataFrame([(p, len(c), bytearray(c)) for p, c in rows], "path string, length long, content binary")
+    checks = {"uid": lambda t: [("warning", "custom", "SOPInstanceUID", "short", t["SOPInstanceUID"][0])], "bad": lambda t: t["nothing"]}
+    got = {r["path"]: r for r in validation.check_with(validation.validate(dicom.parse_files(files)), checks).collect()}
+    assert [(f["severity"], f["tag"], f["value"]) for f in got["a"]["findings"] if f["category"] == "custom"] == [("warning", "SOPInstanceUID", "1.1"), ("error", "bad", "KeyError: 'nothing'")]
+    assert not got["a"]["is_valid"] and len(got["b"]["findings"]) == 1
+    (tmp_path / "one.dcm").write_bytes(rows[0][1])
+    listed = {r["path"].rsplit("/", 1)[1]: r["status"] for r in catalog.listed(spark, [str(tmp_path / "one.dcm"), str(tmp_path / "none.dcm")]).collect()}
+    assert listed == {"one.dcm": None, "none.dcm": "missing"} and catalog.scan_paths(spark, [str(tmp_path / "one.dcm"), str(tmp_path / "none.dcm")]).count() == 1
+    missing = catalog.listed(spark, [str(tmp_path / "none.dcm")]).selectExpr("path", "length", "status", "string(null) error", "map('x', array('')) tags", f"cast(null as {dicom.PX}) px")
+    assert validation.validate(missing).first()["findings"][0]["message"] == "file does not exist"
+
+
+def test_heads_only(spark, tmp_path, monkeypatch):
+    """A scan reads the head of a file, not its pixels; a header longer than that is still read."""
+    from radspark.sources import dicom
+
+    big = np.zeros((1024, 1024), np.uint16)
+    (tmp_path / "a.dcm").write_bytes(make({"SOPInstanceUID": "1.1"}, big))
+    (tmp_path / "b.dcm").write_bytes(make({"SOPInstanceUID": "1.2", "StudyDescription": "x" * 60000, "SeriesDescription": "y" * 60000}, big))
+    files = spark.createDataFrame([(f"file:{tmp_path}/{n}.dcm", 2 << 20) for n in "ab"], "path string, length long")
+    heads = {r["path"][-5]: len(r["content"]) for r in dicom.with_heads(files).collect()}
+    assert heads["a"] == dicom.HEAD and heads["b"] > 2 << 20
+    assert sorted(r["sop_instance_uid"] for r in dicom.header_records(dicom.with_heads(files)).collect()) == ["1.1", "1.2"]
+
+
+def test_random_access(spark, tmp_path):
+    shards.write(samples(spark), "parquet", shards.WriterConfig(str(tmp_path / "p"), per_shard=4))
+    a = shards.RandomAccess(str(tmp_path / "p"), cache=2)
+    assert len(a) == 10 and a[3]["image"][0, 0] == 3 and a["sample_0007"]["metadata"] == {"idx": 7} and a[3] is a["sample_0003"]
+    with pytest.raises(KeyError):
+        a["none"]
 
 
 def test_quality(spark):
