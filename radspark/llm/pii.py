@@ -54,6 +54,25 @@ PATTERNS = len(KINDS) * 2 * 3 ** len(LABELERS) * 3
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string,value:string,before:string,after:string>>"
 
 
+#: Rows that are folded in one run: lists and strings grow by runs, so a text with very many matches costs little more for each.
+RUN = 1024
+
+
+def _fold(rows: Column, out: Column, step, join) -> Column:
+    """``F.aggregate`` over structs {at, out} from {0, ``out``}, a run of rows at a time; ``join`` puts the runs' outs together."""
+    def each(r: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.greatest(F.floor((F.size(r) - 1) / RUN), F.lit(0)).cast("int")), lambda k: F.slice(r, k * RUN + 1, F.lit(RUN)))
+        kind = F.array(out)  # one out; empty below
+
+        def run(acc: Column, part: Column) -> Column:
+            inner = F.aggregate(part, F.struct(acc["at"].alias("at"), out.alias("out")), step)
+            return F.transform(F.array(inner), lambda i: F.struct(i["at"].alias("at"), F.concat(acc["outs"], F.array(i["out"])).alias("outs")))[0]
+
+        return F.aggregate(runs, F.struct(F.lit(0).cast("bigint").alias("at"), F.slice(kind, 1, F.lit(0)).alias("outs")), run, join)
+
+    return F.transform(F.array(rows), each)[0]  # bound once
+
+
 def _found(text: Column, pattern: str, kind: str) -> Column:
     """All matches of a pattern, with offsets and up to 40 characters around.
 
@@ -74,7 +93,7 @@ def _found(text: Column, pattern: str, kind: str) -> Column:
                             F.left(r["n"], F.lit(40)).alias("after"))
             return F.struct(end.cast("bigint").alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-        return F.aggregate(rows, F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPAN).alias("out")), step, lambda acc: acc["out"])
+        return _fold(rows, F.array().cast(SPAN), step, lambda acc: F.flatten(acc["outs"]))
 
     return F.transform(lists, fold)[0]
 
@@ -262,7 +281,6 @@ def mask(docs: DataFrame) -> DataFrame:
                         F.concat(acc["out"], F.when(inside, F.lit("")).otherwise(F.concat(piece, F.lit("<"), F.upper(x["kind"]), F.lit(">")))).alias("out"))
 
     spans = accepted(candidates(text), judge)
-    done = F.aggregate(spans, F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")), step,
-                       lambda acc: F.concat(acc["out"], F.substr(F.col("text"), (acc["at"] + 1).cast("int"))))
+    done = _fold(spans, F.lit(""), step, lambda acc: F.concat(F.array_join(acc["outs"], ""), F.substr(F.col("text"), (acc["at"] + 1).cast("int"))))
     # only rows with a candidate sign are rebuilt; the others keep their text as it is
     return docs.withColumn("text", F.when(text.rlike(r"[@+\[({]|[0-9]"), done).otherwise(F.col("text")))

@@ -100,6 +100,23 @@ def test_op2(spark):
     assert all(r[i]["predicted"] == int(r[i]["score"] >= 0.3) for i in r)
 
 
+def test_op2_equals_brute_force(spark, sf):
+    """Every score again: the tables' entries added one by one."""
+    from bisect import bisect_right
+    from math import exp
+
+    docs = read(spark, sf, "documents")
+    m = gam.learn(docs, read(spark, sf, "labels"))
+    assert len(m.pairs) == 8 and len(m.tables) == len(gam.FEATURES)
+    got = {r["doc_id"]: r["score"] for r in gam.score(docs, m).collect()}
+    for r in docs.collect():
+        x = [float(v) for v in gam.features(r["text"])]
+        f = m.base + sum(t[bisect_right(e.tolist(), v)] for e, t, v in zip(m.edges, m.tables, x))
+        for (a, b), t in zip(m.pairs, m.grids):
+            f += t[bisect_right(m.coarse[a].tolist(), x[a])][bisect_right(m.coarse[b].tolist(), x[b])]
+        assert abs(got[r["doc_id"]] - 1 / (1 + exp(-f))) < 1e-9
+
+
 def test_op2_odd(spark):
     df = docs_of(spark, ODD, extra=True)
     none = spark.createDataFrame([(1, None), (1, None)], "doc_id long, quality int")
@@ -590,6 +607,16 @@ def test_op8_adds_and_masks(spark, sf):
     assert pii.find_spans(docs.limit(0)).count() == 0
 
 
+def test_op8_many_matches(spark):
+    """More matches than a run holds: offsets go on, and masking keeps what is between."""
+    text = " ".join(f"x{i} u{i}@h{i % 7}.org, y" for i in range(5000))
+    df = docs_of(spark, [text, "a@b.com"])
+    r = {x["doc_id"]: x for x in pii.find_spans(df).collect()}
+    want = brute_pii(text)
+    assert r[0]["n_email"] == 5000 and r[0]["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest() and r[1]["n_email"] == 1
+    assert pii.mask(df).where("doc_id = 0").first()["text"] == " ".join(f"x{i} <EMAIL>, y" for i in range(5000))
+
+
 def test_op8_stays_in_the_jvm(spark, sf):
     plan = pii.mask(read(spark, sf, "documents"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
@@ -681,6 +708,38 @@ def test_op10(spark):
     assert np.mean([r[i]["lang_pred"] == lang[i] for i in held]) > 0.97 and all(0 <= x["score"] <= 1 for x in r.values())
 
 
+def test_op10_equals_brute_force(spark, sf):
+    """Every prediction again, word by word from the model's entries."""
+    docs = read(spark, sf, "documents")
+    m = langid.learn(docs)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, m).collect()}
+    said = {}
+
+    def says(w):
+        if w in m.words:
+            return m.table[m.words[w]].astype(float)
+        for n in range(langid.MAX_ORDER, 0, -1):
+            whole = f"^{w}$" if n > 1 else w
+            found = [m.table[m.grams[whole[i : i + n]]] for i in range(len(whole) - n + 1) if whole[i : i + n] in m.grams]
+            if found:
+                v = np.mean(found, axis=0)
+                return v - v.max()
+        return np.zeros(len(m.langs))
+
+    for r in docs.collect():
+        total = np.zeros(len(m.langs))
+        for w in re.findall(r"[^\W\d_]+", (r["text"] or "").lower()):
+            if w not in said:
+                said[w] = says(w)
+            total += said[w]
+        p = np.exp(total - total.max())
+        lang, score = got[r["doc_id"]]
+        if lang == "und":
+            assert not any(c.isalpha() for c in r["text"] or "")
+        else:
+            assert lang == m.langs[int(total.argmax())] and abs(score - p.max() / p.sum()) < 1e-3
+
+
 def test_op10_backs_off(spark):
     rows = [(i, w, g) for i, (w, g) in enumerate([("the house and the garden", "en"), ("das haus und der garten", "de")] * 40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
