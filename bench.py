@@ -13,13 +13,17 @@ REPEATS = 3
 HEADLINE = ("quality_report", "completeness", "distribution_stats", "histogram50", "outliers_zscore", "class_balance", "categorical_distribution", "patient_leakage", "patient_split",
             "validate_findings", "head_hash_dedup", "scan_counters", "shard_assign", "batch_collate", "metric_summary", "img_percentile", "img_zscore", "img_hist_eq", "img_orientation")
 
+#: Over small files made from the vectors, the making included: header records, validation with pixels, decoding, shards written and read back.
+FILES = ("dicom_headers", "dicom_findings", "dicom_pixels", "tar_round_trip")
+
 
 def images_per_second(spark: SparkSession, n: int = 64) -> float:
-    """Synthetic 2048 x 1024 mammograms through the image preset, made and processed in the executors."""
+    """Synthetic 2048 x 1024 mammograms, written beforehand, through the image preset; best of two warm runs."""
     import numpy as np
     import pyarrow as pa
 
     from radspark.operators import imaging, kernels
+    from radspark.storage import spool
 
     def make(batches):
         for b in batches:
@@ -27,10 +31,13 @@ def images_per_second(spark: SparkSession, n: int = 64) -> float:
                 a = np.random.default_rng(i).uniform(size=(2048, 1024)).astype(np.float32)
                 yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([imaging.encode(a)], imaging.IMAGE_TYPE)], names=["key", "image"])
 
-    images = spark.range(0, n, 1, spark.sparkContext.defaultParallelism).mapInArrow(make, f"key long, image {imaging.IMAGE}")
-    t = time.perf_counter()
-    imaging.transform(images, kernels.mammography_preset()).agg(F.sum(F.length("image.data"))).collect()
-    return n / (time.perf_counter() - t)
+    images = spool(spark.range(0, n, 1, spark.sparkContext.defaultParallelism).mapInArrow(make, f"key long, image {imaging.IMAGE}"))
+    best = float("inf")
+    for part in (images.limit(8), images, images):  # the first warms up
+        t = time.perf_counter()
+        imaging.transform(part, kernels.mammography_preset()).agg(F.sum(F.length("image.data"))).collect()
+        best = min(best, time.perf_counter() - t) if part is images else best
+    return n / best
 
 
 def main() -> None:
@@ -39,10 +46,11 @@ def main() -> None:
     spark = (SparkSession.builder.master(f"local[{cpus}]").config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8").config("spark.ui.enabled", "false")
              .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
+    from radspark.plans import file_queries  # noqa: F401  (adds its queries)
     from radspark.plans.queries import QUERIES
 
     took = {}
-    for name in HEADLINE:
+    for name in HEADLINE + FILES:
         best = float("inf")
         for _ in range(REPEATS + 1):  # the first warms up
             t = time.perf_counter()
@@ -50,7 +58,10 @@ def main() -> None:
             best = min(best, time.perf_counter() - t)
         took[name] = round(best, 3)
     rate = images_per_second(spark)
-    print(json.dumps({"metric": "headline queries, best of three warm runs", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took, "sf": d.rsplit("sf", 1)[-1], "images_per_second": round(rate, 1), "cpus": cpus}))
+    files = {n: took.pop(n) for n in FILES}
+    n_files = spark.read.parquet(f"{d}/embeddings.parquet").count()
+    rates = {n: round(n_files / s) for n, s in files.items()}
+    print(json.dumps({"metric": "headline queries, best of three warm runs", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took, "sf": d.rsplit("sf", 1)[-1], "images_per_second": round(rate, 1), "files_per_second": rates, "cpus": cpus}))
     spark.stop()
 
 
