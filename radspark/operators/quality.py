@@ -1,11 +1,13 @@
 """Dataset quality analytics: distributions, outliers, completeness, balance, leakage.
 
 Results are small tidy frames. Each operator is one partial and final
-aggregation over the data (plus one more pass where rows are flagged).
+aggregation over the data (plus one more pass where rows are flagged, and
+one that counts distinct values ahead of exact quantiles).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -20,21 +22,104 @@ IQR_FACTOR, Z_LIMIT, COMPLETE_LIMIT, SEVERE_RATIO, BETA, OUTLIER_WARNING, SMALL_
 PERCENTS = (0.05, 0.25, 0.5, 0.75, 0.95)
 
 
-def _quantiles(c: Column, ps: Sequence[float], exact: bool) -> Column:
-    """Exact quantiles interpolate linearly; approximate ones keep a bounded sketch, for very many distinct values."""
-    return F.percentile(c, list(ps)) if exact else F.percentile_approx(c, list(ps), 10_000).cast("array<double>")
+#: Distinct values that one buffer may hold; columns with more are searched by ranks.
+BUFFER = 1_000_000
+#: Accuracy of the sketches that narrow a search, and the bound of one sketch's size.
+SKETCH = 10_000
+
+
+def _ordered(df: DataFrame, ranks: Sequence[int], buffer: int, sketch: int) -> dict[int, float]:
+    """Values at places (from 0) of a frame's column ``v`` in order, exactly, in bounded memory; neither null nor NaN.
+
+    A pass over the rows sketches the interval that each wanted place lies in
+    and counts what lies below it; the next pass sees only that interval, some
+    4 / ``sketch`` of it. Once an interval has few distinct values they are
+    counted one by one. 10^12 rows take four passes.
+    """
+    low = {r: (float("-inf"), float("inf"), 2.0) for r in ranks}
+    kept = dict(low)  # intervals known to hold their place
+    out: dict[int, float] = {}
+    while low:
+        inside = {r: F.when(F.col("v").between(a, b), F.col("v")) for r, (a, b, _) in low.items()}
+        facts = df.agg(*[c for r, (a, _, _) in low.items() for c in (
+            F.count_if(F.col("v") < a).alias(f"below{r}"), F.count(inside[r]).alias(f"n{r}"), F.approx_count_distinct(inside[r]).alias(f"kinds{r}"))]).first()
+        ready, steps = [], []
+        for r, (a, b, slack) in list(low.items()):
+            below, n = facts[f"below{r}"], facts[f"n{r}"]
+            if not below <= r < below + n:  # the sketch was off: again, wider
+                low[r] = kept[r] = (*kept[r][:2], kept[r][2] * 4)
+                steps.append((r, None))
+                continue
+            kept[r] = (a, b, slack)
+            if facts[f"kinds{r}"] <= buffer:
+                ready.append(F.expr(f"percentile_disc({(r - below + 0.5) / n!r}d) within group (order by case when v between {_sql(a)} and {_sql(b)} then v end)").alias(f"at{r}"))
+            else:
+                steps.append((r, (r - below, n)))
+        if ready:
+            got = df.agg(*ready).first().asDict()
+            out |= {int(k[2:]): x for k, x in got.items()}
+        ends = {}
+        for r, place in steps:
+            if place:
+                at, n = place
+                off = kept[r][2] * n / sketch + 1
+                ends[r] = [min(max((at + d) / n, 0.0), 1.0) for d in (-off, off)]
+        low = {r: low[r] for r, _ in steps}
+        if ends:
+            got = df.agg(*[F.percentile_approx(inside[r], p, sketch).alias(f"e{r}") for r, p in ends.items()]).first()
+            low |= {r: (float(got[f"e{r}"][0]), float(got[f"e{r}"][1]), kept[r][2]) for r in ends}
+    return out
+
+
+def _sql(x: float) -> str:
+    return f"double('{x!r}')" if abs(x) != float("inf") else f"double('{'-' if x < 0 else ''}infinity')"
+
+
+def _quantiles(df: DataFrame, values: Sequence[str], ps: Sequence[float], exact: bool = True, buffer: int | None = None, sketch: int = SKETCH) -> list[Column]:
+    """For each value a Column that gives its quantiles in an aggregation of ``df``.
+
+    Exact ones interpolate linearly: in one buffer where a count has found few
+    distinct values, else by ``_ordered``. Approximate ones keep a bounded sketch.
+    NaN comes after all numbers.
+    """
+    buffer = BUFFER if buffer is None else buffer
+    own = [F.col(v).cast("double") for v in values]
+    if not exact:
+        return [F.percentile_approx(c, list(ps), sketch).cast("array<double>") for c in own]
+    kinds = df.agg(*[F.approx_count_distinct(c).alias(str(i)) for i, c in enumerate(own)]).first() if own else ()
+    out = []
+    for c, k in zip(own, kinds):
+        if k <= buffer:
+            out.append(F.percentile(c, list(ps)))
+            continue
+        v = df.select(c.alias("v")).where("v is not null")
+        n, nans = v.agg(F.count(F.lit(1)), F.count_if(F.isnan("v"))).first()
+        places = [p * (n - 1) for p in ps]
+        wanted = sorted({r for x in places for r in (math.floor(x), math.ceil(x)) if r < n - nans})
+        at = _ordered(v.where(~F.isnan("v")), wanted, buffer, sketch)
+        ends = [(x, at.get(math.floor(x), math.nan), at.get(math.ceil(x), math.nan)) for x in places]
+        out.append(F.array(*[F.lit(a if a == b else (math.ceil(x) - x) * a + (x - math.floor(x)) * b) for x, a, b in ends]))
+    return out
+
+
+def _moments(v: Column, quantiles: Column) -> list[Column]:
+    return [F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
+            quantiles.alias("q"), F.skewness(v).alias("skewness"), F.kurtosis(v).alias("kurtosis")]
+
+
+def _shape(of: str = "") -> list[Column]:
+    """The columns of ``distribution`` from those of ``_moments``, which may be fields of a column."""
+    c = lambda n: F.col(f"{of}{n}")
+    zero = lambda n, x: F.coalesce(x, F.lit(0.0)).alias(n)
+    moving = c("std") > 1e-10
+    q = {n: zero(n, F.get(c("q"), F.lit(i))) for i, n in enumerate(("p5", "p25", "median", "p75", "p95"))}
+    return [c("count").alias("count"), zero("mean", c("mean")), zero("std", c("std")), q["median"], zero("min", c("min")), zero("max", c("max")), q["p5"], q["p25"], q["p75"], q["p95"],
+            F.when(moving, c("skewness")).otherwise(0.0).alias("skewness"), F.when(moving, c("kurtosis")).otherwise(0.0).alias("kurtosis")]
 
 
 def distribution(df: DataFrame, value: str, exact: bool = True) -> DataFrame:
     """One row: count, mean, population std, median, min, max, p5..p95, skewness, excess kurtosis; zeros for no data."""
-    v = F.col(value).cast("double")
-    a = df.agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
-               _quantiles(v, PERCENTS, exact).alias("q"), F.skewness(v).alias("skewness"), F.kurtosis(v).alias("kurtosis"))
-    zero = lambda c: F.coalesce(c, F.lit(0.0))
-    moving = F.col("std") > 1e-10
-    q = {n: zero(F.get("q", F.lit(i))).alias(n) for i, n in enumerate(("p5", "p25", "median", "p75", "p95"))}
-    return a.select("count", zero(F.col("mean")).alias("mean"), zero(F.col("std")).alias("std"), q["median"], zero(F.col("min")).alias("min"), zero(F.col("max")).alias("max"),
-                    q["p5"], q["p25"], q["p75"], q["p95"], F.when(moving, F.col("skewness")).otherwise(0.0).alias("skewness"), F.when(moving, F.col("kurtosis")).otherwise(0.0).alias("kurtosis"))
+    return df.agg(*_moments(F.col(value).cast("double"), _quantiles(df, [value], PERCENTS, exact)[0])).select(*_shape())
 
 
 def histogram(df: DataFrame, value: str, bins: int = BINS) -> DataFrame:
@@ -52,7 +137,7 @@ def histogram(df: DataFrame, value: str, bins: int = BINS) -> DataFrame:
 def iqr_fences(df: DataFrame, value: str, factor: float = IQR_FACTOR, exact: bool = True) -> DataFrame:
     """n, low, high: one row."""
     v = F.col(value).cast("double")
-    a = df.agg(F.count(v).alias("n"), _quantiles(v, (0.25, 0.75), exact).alias("q"))
+    a = df.agg(F.count(v).alias("n"), _quantiles(df, [value], (0.25, 0.75), exact)[0].alias("q"))
     iqr = F.col("q")[1] - F.col("q")[0]
     return a.select("n", (F.col("q")[0] - factor * iqr).alias("low"), (F.col("q")[1] + factor * iqr).alias("high"))
 
@@ -153,11 +238,20 @@ def report(df: DataFrame, values: Sequence[str], categories: Sequence[str], labe
         return one.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
 
     parts = []
-    for v in values:
-        d = distribution(df, v)
+    own = [F.col(v).cast("double") for v in values]
+    if values:  # one pass for the shapes of all values, one for all outliers
+        wide = spool(df.agg(*[F.struct(*_moments(c, q)).alias(f"_{i}") for i, (c, q) in enumerate(zip(own, _quantiles(df, values, PERCENTS)))]))
+        shape = wide.first()
+        outside = [F.lit(0).cast("long")] * len(values)
+        for i, c in enumerate(own):
+            if shape[i]["count"] >= 4:
+                iqr = shape[i]["q"][3] - shape[i]["q"][1]
+                outside[i] = F.count_if((c < shape[i]["q"][1] - IQR_FACTOR * iqr) | (c > shape[i]["q"][3] + IQR_FACTOR * iqr))
+        odd = spool(df.agg(*[n.alias(f"_{i}") for i, n in enumerate(outside)]))
+    for i, v in enumerate(values):
+        d = wide.select(*_shape(f"_{i}."))
         parts.append(tall(d, "distribution", v, d.columns))
-        out = outliers_iqr(df, v).agg(F.count(F.lit(1)).alias("outlier_count"))
-        share = out.join(F.broadcast(df.agg(F.count(v).alias("n")))).select("outlier_count", (F.col("outlier_count") / F.greatest(F.col("n"), F.lit(1))).alias("outlier_fraction"))  # one row
+        share = odd.select(F.col(f"_{i}").alias("outlier_count"), (F.col(f"_{i}") / F.lit(max(shape[i]["count"], 1))).alias("outlier_fraction"))
         parts.append(tall(share, "outliers_iqr", v, ["outlier_count", "outlier_fraction"]))
         parts.append(share.where(F.col("outlier_fraction") > OUTLIER_WARNING).select(F.lit("warning").alias("section"), F.lit("many_outliers").alias("metric"), F.lit(v).alias("key"), F.lit(1.0).alias("value")))
     c = completeness(df, required)

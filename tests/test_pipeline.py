@@ -164,6 +164,26 @@ def test_quality(spark):
     assert "<svg" in html and report.to_json(r)["distribution"]["v"]["count"] == 1000
 
 
+def test_quantiles_beyond_one_buffer(spark):
+    """Columns with too many distinct values for a buffer: the same quantiles, by ranks."""
+    rng = np.random.default_rng(5)
+    cases = {"spread": rng.normal(size=30_000), "hot": np.where(rng.random(30_000) < 0.4, 1.5, rng.exponential(size=30_000)),
+             "ends": np.concatenate([rng.normal(size=9_997), [np.inf, -np.inf, 0.0]]), "nan": np.concatenate([rng.normal(size=9_000), np.full(1_000, np.nan)])}
+    ps = (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0)
+    for name, a in cases.items():
+        df = spark.createDataFrame([(float(x),) for x in a], "v double")
+        got = df.agg(*quality._quantiles(df, ["v"], ps, buffer=200, sketch=100)).first()[0]
+        a = np.sort(a)
+        for p, x in zip(ps, got):
+            at = p * (len(a) - 1)
+            low, high = a[int(np.floor(at))], a[int(np.ceil(at))]
+            want = low if low == high else low + (at % 1) * (high - low)
+            assert x == pytest.approx(want, rel=1e-9, nan_ok=True), (name, p)
+    few = spark.range(1000).select(F.col("id").cast("double").alias("v"), F.lit(None).cast("double").alias("none"))
+    one, none = few.agg(*quality._quantiles(few, ["v", "none"], (0.5,))).first()
+    assert one == [499.5] and none is None
+
+
 def test_header_values(spark):
     rows = [("065Y", "20230213", "HOLOGIC, Inc."), ("018M", "2023.02.13", "GE MEDICAL SYSTEMS"), ("104W", "20230229", "Agfa-Gevaert"), ("730D", "00000101", " Siemens "), ("65y", "2023", ""), ("abc", "", "Acme")]
     df = spark.createDataFrame(rows, "age string, day string, v string")
