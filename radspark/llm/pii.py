@@ -173,13 +173,31 @@ def _judged(spans: Column, base: bool) -> Column:
     return F.transform(spans, one).cast(JUDGED)
 
 
+def _apart(base: Column, loose: Column) -> Column:
+    """Loose spans that overlap no base span, in order of their ends.
+
+    One walk over base spans by start and loose ones by end: when a loose span
+    comes, every base span that starts before its end has passed, and the
+    furthest end of those tells whether one reaches into it.
+    """
+    row = lambda at, own: lambda x: F.struct(x[at].alias("at"), F.lit(own).alias("own"), x.alias("x"))
+    rows = F.sort_array(F.concat(F.transform(loose, row("end", 0)), F.transform(base, row("start", 1))))  # ties: the loose one first
+
+    def step(acc: Column, r: Column) -> Column:
+        keep = (r["own"] == 0) & (acc["at"] <= r["x"]["start"])
+        return F.struct(F.when(r["own"] == 1, F.greatest(acc["at"], r["x"]["end"])).otherwise(acc["at"]).alias("at"),
+                        F.when(keep, F.concat(acc["out"], F.array(r["x"]).cast(SPAN))).otherwise(acc["out"]).alias("out"))
+
+    none = F.array().cast(SPAN)
+    return F.when((F.size(base) == 0) | (F.size(loose) == 0), loose).otherwise(_fold(rows, none, step, lambda acc: F.flatten(acc["outs"])))
+
+
 def candidates(text: Column) -> Column:
     """All candidates of a text with their votes; loose ones that overlap a base span are left out."""
     both = F.array(F.struct(base_spans(text).alias("b"), loose_spans(text).alias("l")))
 
     def join(s: Column) -> Column:
-        apart = F.filter(s["l"], lambda x: ~F.exists(s["b"], lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
-        return F.concat(_judged(s["b"], True), _judged(apart, False))
+        return F.concat(_judged(s["b"], True), _judged(_apart(s["b"], s["l"]), False))
 
     return F.transform(both, join)[0]
 

@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from radspark.llm import common, gam, html_blocks, langid, licenses, minhash, mixing, packing, pii, queries, tiff, vectors
 
@@ -617,6 +618,21 @@ def test_op8_many_matches(spark):
     assert pii.mask(df).where("doc_id = 0").first()["text"] == " ".join(f"x{i} <EMAIL>, y" for i in range(5000))
 
 
+def test_op8_loose_apart_from_base(spark):
+    """The walk over both lists of spans against every pair of them."""
+    rng = random.Random(11)
+
+    def spans(n, width):
+        return sorted((a, rng.randrange(6), a + rng.randint(1, width), "ip", "v", "", "") for a in (rng.randrange(200) for _ in range(n)))
+
+    rows = [(i, spans(rng.choice((0, 1, 5, 30)), 12), spans(rng.choice((0, 1, 9)), 30)) for i in range(300)]
+    rows.append((300, spans(3000, 5), [(500 + a, k, 500 + b, *r) for a, k, b, *r in spans(3000, 9)]))
+    df = spark.createDataFrame(rows, f"id long, b {pii.SPAN}, l {pii.SPAN}")
+    got = {r["id"]: r["x"] for r in df.select("id", pii._apart(F.col("b"), F.col("l")).alias("x")).collect()}
+    for i, b, l in rows:
+        assert sorted(map(tuple, got[i])) == [x for x in l if not any(y[0] < x[2] and x[0] < y[2] for y in b)], i
+
+
 def test_op8_stays_in_the_jvm(spark, sf):
     plan = pii.mask(read(spark, sf, "documents"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
