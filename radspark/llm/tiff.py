@@ -2,7 +2,9 @@
 
 The reader walks the chain of image directories (both byte orders), decodes
 strips or tiles stored raw, with PackBits, LZW or deflate, undoes the
-horizontal predictor and returns 8-bit samples, chunky layout.
+horizontal (2) and the floating-point (3) predictor and returns samples of 1,
+2, 4 (one byte each), 8, 16, 32 or 64 bits: unsigned, signed or floating,
+little-endian, chunky, from files with chunky or planar layout.
 
 Defined results: null or empty media give one row with ``error`` set and null
 pixels; a broken page gives a row with ``error`` and the walk goes on where the
@@ -245,27 +247,48 @@ def _directory(data: bytes, at: int, e: str) -> tuple[dict[int, tuple[int, ...]]
     return tags, nxt
 
 
-def _pixels(data: bytes, t: dict[int, tuple[int, ...]]) -> np.ndarray:
+def _pixels(data: bytes, t: dict[int, tuple[int, ...]], e: str) -> np.ndarray:
+    """Samples of a page: height x width x samples."""
     w, h = t[256][0], t[257][0]
-    spp = t.get(277, (1,))[0]
-    if any(b != 8 for b in t.get(258, (1,))) or t.get(284, (1,))[0] != 1:
-        raise ValueError("only 8-bit chunky samples are supported")
+    spp, depths, fmt, planar = t.get(277, (1,))[0], set(t.get(258, (1,))), t.get(339, (1,))[0], t.get(284, (1,))[0] == 2
     codec, predictor = t.get(259, (1,))[0], t.get(317, (1,))[0]
-    if predictor not in (1, 2):
-        raise ValueError(f"predictor {predictor} is not supported")
+    bits = depths.pop()
+    kind = {2: "i", 3: "f"}.get(fmt, "u")
+    if depths or bits not in ((16, 32, 64) if kind == "f" else (1, 2, 4, 8, 16, 32, 64)) or fmt > 4:
+        raise ValueError("samples of these widths or this format are not supported")
+    if predictor not in (1, 2, 3) or predictor == 3 and kind != "f" or predictor != 1 and bits < 8:
+        raise ValueError(f"predictor {predictor} is not supported for such samples")
+    n, per = bits // 8, 1 if planar else spp
 
     def block(k: int, bh: int, bw: int, offs, sizes) -> np.ndarray:
-        raw = decode_block(data[offs[k] : offs[k] + sizes[k]], codec, bh * bw * spp)
-        a = np.frombuffer(raw, dtype=np.uint8).reshape(bh, bw, spp)
-        return np.cumsum(a, axis=1, dtype=np.uint8) if predictor == 2 else a
+        line = (bw * per * bits + 7) // 8
+        a = np.frombuffer(decode_block(data[offs[k] : offs[k] + sizes[k]], codec, bh * line), dtype=np.uint8).reshape(bh, line)
+        if bits < 8:
+            parts = np.unpackbits(a, axis=1).reshape(bh, -1, bits)[:, : bw * per]
+            a = (parts << np.arange(bits - 1, -1, -1, dtype=np.uint8)).sum(axis=2, dtype=np.uint8)
+        elif predictor == 3:  # differences of bytes, the most significant byte of all samples first
+            a = np.cumsum(a.reshape(bh, -1, per), axis=1, dtype=np.uint8).reshape(bh, n, bw * per)
+            a = np.ascontiguousarray(a[:, ::-1].transpose(0, 2, 1)).view(f"<f{n}")
+        else:
+            a = a.view(f"{e}u{n}").astype(f"<u{n}", copy=False).reshape(bh, bw, per)
+            if predictor == 2:
+                a = np.cumsum(a, axis=1, dtype=f"<u{n}")
+            a = a.view(f"<{kind}{n}")
+        return a.reshape(bh, bw, per)
+
+    tw, th = (t[322][0], t[323][0]) if 322 in t else (w, min(t.get(278, (h,))[0], h))
+    if not (w and h and spp and tw and th):
+        raise ValueError("a side of the page or of its blocks is 0")
+    across, down = -(-w // tw), -(-h // th)
+    offs, sizes = (t[324], t[325]) if 322 in t else (t[273], t[279])
+
+    def plane(first: int) -> np.ndarray:
+        tall = [th if 322 in t else min(th, h - y * th) for y in range(down)]
+        return np.concatenate([np.concatenate([block(first + y * across + x, tall[y], tw, offs, sizes) for x in range(across)], axis=1) for y in range(down)])[:h, :w]
 
-    if 322 in t:
-        tw, th = t[322][0], t[323][0]
-        across, down = -(-w // tw), -(-h // th)
-        rows = [np.concatenate([block(y * across + x, th, tw, t[324], t[325]) for x in range(across)], axis=1) for y in range(down)]
-        return np.concatenate(rows)[:h, :w]
-    step = min(t.get(278, (h,))[0], h)
-    return np.concatenate([block(k, min(step, h - y), w, t[273], t[279]) for k, y in enumerate(range(0, h, step))])
+    if len(offs) < across * down * (spp if planar else 1):
+        raise ValueError("blocks are missing")
+    return np.concatenate([plane(p * across * down) for p in range(spp)], axis=2) if planar else plane(0)
 
 
 def read_pages(data: bytes | None) -> Iterator[tuple[dict, np.ndarray | None, str | None]]:
@@ -283,14 +306,14 @@ def read_pages(data: bytes | None) -> Iterator[tuple[dict, np.ndarray | None, st
             yield {}, None, f"directory: {x}"
             return
         try:
-            yield tags, _pixels(data, tags), None
-        except (struct.error, ValueError, KeyError, IndexError, zlib.error) as x:
+            yield tags, _pixels(data, tags, e), None
+        except (struct.error, ValueError, KeyError, IndexError, OverflowError, zlib.error) as x:
             yield tags, None, f"{type(x).__name__}: {x}"
         at = nxt
 
 
 PAGE = ("page int, width int, height int, samples int, compression int, predictor int, tiled boolean, "
-        "last boolean, pixels binary, error string")
+        "last boolean, pixels binary, error string, bits int, sample_format int")
 
 
 def tiff_pages(df: DataFrame, media_col: str = "media", batch_bytes: int = 8 << 20) -> DataFrame:
@@ -313,7 +336,7 @@ def tiff_pages(df: DataFrame, media_col: str = "media", batch_bytes: int = 8 <<
             def flush() -> pa.RecordBatch:
                 nonlocal take, out, size
                 left = [b.column(i + 1).take(pa.array(take, pa.int32())) for i in range(len(names))]
-                kinds = [pa.int32()] * 6 + [pa.bool_(), pa.bool_(), pa.binary(), pa.string()]
+                kinds = [pa.int32()] * 6 + [pa.bool_(), pa.bool_(), pa.binary(), pa.string(), pa.int32(), pa.int32()]
                 got = pa.RecordBatch.from_arrays(left + [pa.array(c, k) for c, k in zip(out, kinds)], names=names + own)
                 take, out, size = [], [[] for _ in own], 0
                 return got
@@ -323,7 +346,7 @@ def tiff_pages(df: DataFrame, media_col: str = "media", batch_bytes: int = 8 <<
                 for n, (t, px, err) in enumerate(pages):
                     raw = None if px is None else px.tobytes()
                     g = lambda k, d: int(t[k][0]) if t.get(k) else d
-                    row = (n, g(256, None), g(257, None), g(277, 1), g(259, 1), g(317, 1), 322 in t, n == len(pages) - 1, raw, err)
+                    row = (n, g(256, None), g(257, None), g(277, 1), g(259, 1), g(317, 1), 322 in t, n == len(pages) - 1, raw, err, g(258, 1), g(339, 1))
                     for c, v in zip(out, row):
                         c.append(v)
                     take.append(r)

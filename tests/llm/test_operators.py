@@ -50,6 +50,76 @@ def test_tiff_pages_round_trip(codec):
         assert (px[:, :, 0] == imgs[k // 4]).all()
 
 
+def by_hand(a, e, bits, predictor=1, planar=False, tile=None):
+    """A one-page deflate TIFF of ``a`` (height x width x samples), sample by sample."""
+    h, w, spp = a.shape
+    kind, n = a.dtype.kind, max(1, bits // 8)
+    th, tw = tile or (3, w)
+    blocks = []
+    for part in [a[:, :, k : k + 1] for k in range(spp)] if planar else [a]:
+        for y in range(0, h, th):
+            for x in range(0, w, tw):
+                b = part[y : y + th, x : x + tw]
+                if tile:
+                    b = np.pad(b, ((0, th - b.shape[0]), (0, tw - b.shape[1]), (0, 0)))
+                raw = b""
+                for row in b:
+                    per = row.shape[1]
+                    if bits < 8:
+                        line = "".join(format(int(v), f"0{bits}b") for v in row.ravel())
+                        raw += bytes(int(line[i : i + 8].ljust(8, "0"), 2) for i in range(0, len(line), 8))
+                    elif predictor == 3:
+                        each = [np.array(v, f">f{n}").tobytes() for v in row.ravel()]  # scalars have no byte order
+                        line = bytes(v[k] for k in range(n) for v in each)
+                        raw += bytes((c - (line[i - per] if i >= per else 0)) % 256 for i, c in enumerate(line))
+                    else:
+                        ints = [int.from_bytes(v.tobytes(), "little") for v in row.ravel()]
+                        if predictor == 2:
+                            ints = [(v - (ints[i - per] if i >= per else 0)) % (1 << bits) for i, v in enumerate(ints)]
+                        raw += b"".join(v.to_bytes(n, "little" if e == "<" else "big") for v in ints)
+                blocks.append(zlib.compress(raw))
+    out, offs = (b"II*\0" if e == "<" else b"MM\0*") + b"\0\0\0\0", []
+    for b in blocks:
+        offs.append(len(out))
+        out += b
+    tags = {256: [w], 257: [h], 258: [bits] * spp, 259: [8], 277: [spp], 284: [2 if planar else 1], 317: [predictor], 339: [{"u": 1, "i": 2, "f": 3}[kind]]}
+    tags |= {322: [tw], 323: [th], 324: offs, 325: [len(b) for b in blocks]} if tile else {273: offs, 278: [th], 279: [len(b) for b in blocks]}
+    fields = b""
+    for k, vals in sorted(tags.items()):
+        body = struct.pack(f"{e}{len(vals)}I", *vals)
+        if len(vals) > 1:
+            body, out = struct.pack(f"{e}I", len(out)), out + body
+        fields += struct.pack(f"{e}HHI", k, 4, len(vals)) + body
+    return out[:4] + struct.pack(f"{e}I", len(out)) + out[8:] + struct.pack(f"{e}H", len(tags)) + fields + b"\0\0\0\0"
+
+
+@pytest.mark.parametrize("e", "<>")
+@pytest.mark.parametrize("tile", [None, (4, 6)])
+def test_tiff_sample_widths_and_predictors(e, tile):
+    """Each width, format, predictor and layout, from files written sample by sample."""
+    rng = np.random.default_rng(7)
+    for planar in (False, True):
+        for spp in (1, 3):
+            cases = [(f"{k}{n}", 8 * n, p) for k in "ui" for n in (1, 2, 4, 8) for p in (1, 2)] + [(f"f{n}", 8 * n, p) for n in (2, 4, 8) for p in (1, 2, 3)]
+            for dtype, bits, predictor in cases + [("u1", b, 1) for b in (1, 2, 4)]:
+                top = 1 << min(bits, 8)
+                a = rng.integers(0, top, (7, 10, spp, max(1, bits // 8)), dtype=np.uint8).view(f"<{dtype}")[..., 0]
+                if dtype[0] == "f":
+                    a = rng.normal(size=a.shape).astype(f"<{dtype}")
+                ((_, px, err),) = tiff.read_pages(by_hand(a, e, bits, predictor, planar, tile))
+                assert err is None and px.dtype == a.dtype and px.tobytes() == a.tobytes(), (dtype, bits, predictor, planar, spp)
+
+
+def test_tiff_refuses(spark):
+    """Pages that cannot be decoded say why; the batch goes on."""
+    a = np.zeros((2, 3, 1), "<u2")
+    bad = [by_hand(a, "<", 16, 3), by_hand(a, "<", 12, 1), by_hand(np.zeros((0, 3, 1), "u1"), "<", 8), by_hand(np.zeros((2, 0, 1), "u1"), ">", 8, tile=(1, 1))]
+    df = spark.createDataFrame([(i, m) for i, m in enumerate([*bad, by_hand(a, ">", 16, 2)])], "id long, media binary")
+    got = {r["id"]: r for r in tiff.tiff_pages(df).collect()}
+    assert all(got[i]["error"] and got[i]["pixels"] is None for i in range(4))
+    assert (got[4]["error"], got[4]["pixels"], got[4]["bits"], got[4]["sample_format"], got[4]["predictor"]) == (None, bytes(12), 16, 1, 2)
+
+
 def test_tiff_big_endian_and_broken():
     px = bytes(range(6))
     ifd = struct.pack(">H", 7) + b"".join(struct.pack(">HHI", t, 4, 1) + struct.pack(">I", v) for t, v in ((256, 3), (257, 2), (258, 8), (259, 1), (273, 8), (278, 2), (279, 6))) + b"\0\0\0\0"
