@@ -316,7 +316,44 @@ PAGE = ("page int, width int, height int, samples int, compression int, predicto
         "last boolean, pixels binary, error string, bits int, sample_format int")
 
 
-def tiff_pages(df: DataFrame, media_col: str = "media", batch_bytes: int = 8 << 20) -> DataFrame:
+Batches = Iterator[pa.RecordBatch]
+
+
+def _walk(batches: Batches, batch_bytes: int = 8 << 20) -> Batches:
+    """Batches of (media, other columns) to batches of the other columns and ``PAGE``."""
+    own = [f.split()[0] for f in PAGE.split(", ")]
+    kinds = [pa.int32()] * 6 + [pa.bool_(), pa.bool_(), pa.binary(), pa.string(), pa.int32(), pa.int32()]
+    for b in batches:
+        names = b.schema.names[1:]
+        media = b.column(0)
+        take: list[int] = []
+        out: list[list] = [[] for _ in own]
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal take, out, size
+            left = [b.column(i + 1).take(pa.array(take, pa.int32())) for i in range(len(names))]
+            got = pa.RecordBatch.from_arrays(left + [pa.array(c, k) for c, k in zip(out, kinds)], names=names + own)
+            take, out, size = [], [[] for _ in own], 0
+            return got
+
+        for r in range(len(media)):
+            pages = list(read_pages(media[r].as_py())) or [({}, None, "no pages")]
+            for n, (t, px, err) in enumerate(pages):
+                raw = None if px is None else px.tobytes()
+                g = lambda k, d: int(t[k][0]) if t.get(k) else d
+                row = (n, g(256, None), g(257, None), g(277, 1), g(259, 1), g(317, 1), 322 in t, n == len(pages) - 1, raw, err, g(258, 1), g(339, 1))
+                for c, v in zip(out, row):
+                    c.append(v)
+                take.append(r)
+                size += len(raw or b"")
+            if size > batch_bytes:
+                yield flush()
+        if take:
+            yield flush()
+
+
+def tiff_pages(df: DataFrame, media_col: str = "media") -> DataFrame:
     """One row per page of each TIFF, in order: the other columns of ``df`` and ``PAGE``.
 
     Rows are not moved; ``last`` marks a file's last page.
@@ -324,39 +361,7 @@ def tiff_pages(df: DataFrame, media_col: str = "media", batch_bytes: int = 8 <<
     own = [f.split()[0] for f in PAGE.split(", ")]
     kept = [f for f in df.schema.fields if f.name != media_col and f.name not in own]
     schema = T.StructType(kept + T._parse_datatype_string(PAGE).fields)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            names = b.schema.names[1:]
-            media = b.column(0)
-            take: list[int] = []
-            out: list[list] = [[] for _ in own]
-            size = 0
-
-            def flush() -> pa.RecordBatch:
-                nonlocal take, out, size
-                left = [b.column(i + 1).take(pa.array(take, pa.int32())) for i in range(len(names))]
-                kinds = [pa.int32()] * 6 + [pa.bool_(), pa.bool_(), pa.binary(), pa.string(), pa.int32(), pa.int32()]
-                got = pa.RecordBatch.from_arrays(left + [pa.array(c, k) for c, k in zip(out, kinds)], names=names + own)
-                take, out, size = [], [[] for _ in own], 0
-                return got
-
-            for r in range(len(media)):
-                pages = list(read_pages(media[r].as_py())) or [({}, None, "no pages")]
-                for n, (t, px, err) in enumerate(pages):
-                    raw = None if px is None else px.tobytes()
-                    g = lambda k, d: int(t[k][0]) if t.get(k) else d
-                    row = (n, g(256, None), g(257, None), g(277, 1), g(259, 1), g(317, 1), 322 in t, n == len(pages) - 1, raw, err, g(258, 1), g(339, 1))
-                    for c, v in zip(out, row):
-                        c.append(v)
-                    take.append(r)
-                    size += len(raw or b"")
-                if size > batch_bytes:
-                    yield flush()
-            if take:
-                yield flush()
-
-    return df.select(media_col, *[f"`{f.name}`" for f in kept]).mapInArrow(run, schema)
+    return df.select(media_col, *[f"`{f.name}`" for f in kept]).mapInArrow(_walk, schema)
 
 
 WIDTH, PAGE_ROWS, SMALL_ROWS = 64, 512, 16
@@ -381,72 +386,77 @@ def text_pages(text: str | None) -> list[tuple[np.ndarray, int, int, int | tuple
     return pages
 
 
-def encode_texts(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, media_bytes, media_sha256, media: each text stored as a TIFF."""
+STORED = "media binary, doc_id long, n_bytes long, media_bytes long, media_sha256 string"
+
+
+def _store(batches: Batches) -> Batches:
+    """Batches of (doc_id, text) to ``STORED``."""
+    for b in batches:
+        ids, texts = b.column(0), b.column(1)
+        for lo in range(0, len(ids), 256):
+            own = [t or "" for t in texts.slice(lo, 256).to_pylist()]
+            media = [write_tiff(text_pages(t)) for t in own]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(media, pa.binary()), ids.slice(lo, 256),
+                pa.array([len(t.encode("utf-8", "surrogatepass")) for t in own], pa.int64()),
+                pa.array([len(m) for m in media], pa.int64()),
+                pa.array([hashlib.sha256(m).hexdigest() for m in media], pa.string())], names=["media", "doc_id", "n_bytes", "media_bytes", "media_sha256"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, texts = b.column(0), b.column(1)
-            for lo in range(0, len(ids), 256):
-                own = [t or "" for t in texts.slice(lo, 256).to_pylist()]
-                media = [write_tiff(text_pages(t)) for t in own]
-                yield pa.RecordBatch.from_arrays([
-                    ids.slice(lo, 256),
-                    pa.array([len(t.encode("utf-8", "surrogatepass")) for t in own], pa.int64()),
-                    pa.array([len(m) for m in media], pa.int64()),
-                    pa.array([hashlib.sha256(m).hexdigest() for m in media], pa.string()),
-                    pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media_bytes", "media_sha256", "media"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_bytes long, media_bytes long, media_sha256 string, media binary")
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
+def encode_texts(docs: DataFrame) -> DataFrame:
+    """``STORED``: each text as a TIFF."""
+    return _texts(docs).mapInArrow(_store, STORED)
 
 
 DIGEST = ("doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, "
           "media_bytes long, media_sha256 string, feature string, n_pages long, error string")
 
 
-def payload_digests(pages: DataFrame) -> DataFrame:
-    """Digest of each file's read-back samples; pages of a file stand together, so nothing is shuffled.
+def _digest(batches: Batches) -> Batches:
+    """Digest of each file's read-back samples; pages of a file stand together.
 
     ``feature``: pages, size, mean, deviation and entropy of the samples, and their share in 8 equal bands.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sha, tail, total, hist, n, bad, shape = hashlib.sha256(), b"", 0, np.zeros(256, np.int64), 0, None, []
-        for b in batches:
-            cols = {c: b.column(i).to_pylist() for i, c in enumerate(b.schema.names)}
-            out: list[list] = [[] for _ in range(10)]
-            for r in range(b.num_rows):
-                px = cols["pixels"][r]
-                n += 1
-                bad = bad or cols["error"][r]
-                if px is not None:
-                    sha.update(px)
-                    tail = (tail + px)[-64:]
-                    total += len(px)
-                    hist += np.bincount(np.frombuffer(px, np.uint8), minlength=256)
-                    shape.append(f"{cols['compression'][r]}:{cols['height'][r]}")
-                if not cols["last"][r]:
-                    continue
-                p = hist[hist > 0] / max(1, total)
-                v = np.arange(256)
-                mean = float((hist * v).sum()) / max(1, total)
-                var = max(0.0, float((hist * v * v).sum()) / max(1, total) - mean * mean)
-                bands = ",".join(f"{x / max(1, total):.4f}" for x in hist.reshape(8, 32).sum(1))
-                feature = (f"pages={n};width={WIDTH};layout={'/'.join(shape[:4])};mean={mean:.4f};std={var ** 0.5:.4f};"
-                           f"entropy={abs(float(-(p * np.log2(p)).sum())):.4f};bands={bands}")
-                row = (cols["doc_id"][r], cols["n_bytes"][r], total, sha.hexdigest(), zlib.crc32(tail),
-                       cols["media_bytes"][r], cols["media_sha256"][r], feature, n, bad)
-                for c, x in zip(out, row):
-                    c.append(x)
-                sha, tail, total, hist, n, bad, shape = hashlib.sha256(), b"", 0, np.zeros(256, np.int64), 0, None, []
-            s, i = pa.string(), pa.int64()
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (i, i, i, s, i, i, s, s, i, s))],
-                                             names=[f.split()[0] for f in DIGEST.split(", ")])
-
-    return pages.mapInArrow(run, DIGEST)
+    sha, tail, total, hist, n, bad, shape = hashlib.sha256(), b"", 0, np.zeros(256, np.int64), 0, None, []
+    for b in batches:
+        cols = {c: b.column(i).to_pylist() for i, c in enumerate(b.schema.names)}
+        out: list[list] = [[] for _ in range(10)]
+        for r in range(b.num_rows):
+            px = cols["pixels"][r]
+            n += 1
+            bad = bad or cols["error"][r]
+            if px is not None:
+                sha.update(px)
+                tail = (tail + px)[-64:]
+                total += len(px)
+                hist += np.bincount(np.frombuffer(px, np.uint8), minlength=256)
+                shape.append(f"{cols['compression'][r]}:{cols['height'][r]}")
+            if not cols["last"][r]:
+                continue
+            p = hist[hist > 0] / max(1, total)
+            v = np.arange(256)
+            mean = float((hist * v).sum()) / max(1, total)
+            var = max(0.0, float((hist * v * v).sum()) / max(1, total) - mean * mean)
+            bands = ",".join(f"{x / max(1, total):.4f}" for x in hist.reshape(8, 32).sum(1))
+            feature = (f"pages={n};width={WIDTH};layout={'/'.join(shape[:4])};mean={mean:.4f};std={var ** 0.5:.4f};"
+                       f"entropy={abs(float(-(p * np.log2(p)).sum())):.4f};bands={bands}")
+            row = (cols["doc_id"][r], cols["n_bytes"][r], total, sha.hexdigest(), zlib.crc32(tail),
+                   cols["media_bytes"][r], cols["media_sha256"][r], feature, n, bad)
+            for c, x in zip(out, row):
+                c.append(x)
+            sha, tail, total, hist, n, bad, shape = hashlib.sha256(), b"", 0, np.zeros(256, np.int64), 0, None, []
+        s, i = pa.string(), pa.int64()
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (i, i, i, s, i, i, s, s, i, s))],
+                                         names=[f.split()[0] for f in DIGEST.split(", ")])
 
 
 def text_media(docs: DataFrame) -> DataFrame:
-    """Store every text as a TIFF, read the pages back and digest them: ``DIGEST``, one row per document row."""
-    return payload_digests(tiff_pages(encode_texts(docs)))
+    """Store every text as a TIFF, read the pages back and digest them: ``DIGEST``, one row per document row.
+
+    One hop: the steps hand batches on within one worker, and nothing is shuffled.
+    """
+    return _texts(docs).mapInArrow(lambda batches: _digest(_walk(_store(batches))), DIGEST)
